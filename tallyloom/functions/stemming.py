@@ -138,10 +138,14 @@ def _step_5() -> Column:
 
 
 def with_stem(df: DataFrame, term: str, out: str = "stem") -> DataFrame:
-    """Add the stem of a lower-case word column.  Narrow: no shuffle, no Python worker."""
+    """Add the stem of a lower-case word column.  Narrow: no shuffle, no Python worker.
+
+    The last step leaves through a one-element ``explode``: the optimizer would
+    otherwise substitute the whole chain of steps into a later filter on the
+    stem, and each step mentions the one before it many times.
+    """
     exceptions = F.create_map(*[F.lit(x) for pair in EXCEPTIONS.items() for x in pair])
     marked = F.regexp_replace(F.regexp_replace(F.col(term), "^y", "Y"), f"({V})y", "$1Y")
-    past, removed = None, None
     df = df.withColumn(_W, marked).withColumn(_W, _plural())
     past, removed = _past()
     df = df.withColumns({_W: past, "_removed": removed})
@@ -154,4 +158,4 @@ def with_stem(df: DataFrame, term: str, out: str = "stem") -> DataFrame:
         .when(F.col(term).isin(list(EXCEPTIONS)), exceptions[F.col(term)])
         .otherwise(F.translate(_w(), "Y", "y"))
     )
-    return df.withColumn(out, stem).drop(_W, "_removed")
+    return df.withColumn(out, F.explode(F.array(stem))).drop(_W, "_removed")

@@ -68,19 +68,19 @@ def row_total(df: DataFrame):
     return df.agg(F.count("*").cast("double").alias("n")).scalar()
 
 
-def training_features(docs: DataFrame, key: str = "doc_id", size: int = 20000,
-                      carry: Sequence[str] = (), use_idf: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Dictionary and TF-IDF features of the training documents.
+def training_dictionary(docs: DataFrame, size: int = 20000, words: str = "words") -> DataFrame:
+    """``term, n, df, pos`` of the training documents, from one scan of the text."""
+    return dictionary(term_statistics(docs, words), size)
 
-    The text is read twice: once for the dictionary, whose rows also carry the
-    document frequency, and once for the features.
-    """
-    terms = dictionary(term_statistics(docs), size)
+
+def training_weights(docs: DataFrame, terms: DataFrame, key: str = "doc_id", carry: Sequence[str] = (),
+                     use_idf: bool = True, n_docs=None) -> DataFrame:
+    """TF-IDF (or TF) of the documents the dictionary was made from; N counts all of them."""
     if not use_idf:
-        return terms, positions(docs, terms, key, carry=carry)
-    weighted = terms.withColumn("_idf", idf(F.col("df"), row_total(docs)))
+        return positions(docs, terms, key, carry=carry)
+    weighted = terms.withColumn("_idf", idf(F.col("df"), row_total(docs) if n_docs is None else n_docs))
     features = positions(docs, weighted, key, carry=carry, extra=["_idf"])
-    return terms, features.withColumn("value", F.col("value") * F.col("_idf")).drop("_idf")
+    return features.withColumn("value", F.col("value") * F.col("_idf")).drop("_idf")
 
 
 def scoring_features(docs: DataFrame, terms: DataFrame, key: str = "doc_id", carry: Sequence[str] = (),
@@ -92,9 +92,7 @@ def scoring_features(docs: DataFrame, terms: DataFrame, key: str = "doc_id", car
     dictionary's own frequencies and ``n_train``.  ``'none'``: plain TF.
     """
     if idf_from == "train":
-        weighted = terms.withColumn("_idf", idf(F.col("df"), n_train))
-        out = positions(docs, weighted, key, carry=carry, extra=["_idf"])
-        return out.withColumn("value", F.col("value") * F.col("_idf")).drop("_idf")
+        return training_weights(docs, terms, key, carry, n_docs=n_train)
     out = positions(docs, terms, key, carry=carry)
     if idf_from == "none":
         return out

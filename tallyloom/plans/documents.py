@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.functions.losses import RowLoss, hinge, logistic, weighted_hinge
 from tallyloom.functions.text import letter_words
-from tallyloom.operators.features import idf, row_total, scoring_features, training_features
+from tallyloom.operators.features import (
+    document_frequency, idf, positions, row_total, scoring_features, training_dictionary, training_weights,
+)
 from tallyloom.operators.measures import confusion, f_by_label, positive_share, rates, score_features
 from tallyloom.operators.recode import bag_union, class_from_prefix, parse_tagged_line, synthetic_ids
 from tallyloom.operators.vocabulary import stem_documents
@@ -107,12 +109,11 @@ def run_documents(training: DataFrame, testing: DataFrame, preset: str | Preset,
     spark = training.sparkSession
     if preset.model in ("multinomial", "forest"):
         return _run_library(training, testing, preset, size, seed, phases)
-    terms, features = training_features(training, size=size, carry=["label"], use_idf=preset.use_idf)
+    terms = training_dictionary(training, size)
     rows = []
     with reused(training, terms) as (docs, words):
         width = words.count()
-        terms, features = _weights_of(docs, words, preset)
-        with reused(features) as (kept,):
+        with reused(training_weights(docs, words, carry=["label"], use_idf=preset.use_idf)) as (kept,):
             fits = []
             with phases("train"):
                 for name, target, without in preset.tasks:
@@ -130,23 +131,19 @@ def run_documents(training: DataFrame, testing: DataFrame, preset: str | Preset,
     return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], schema)
 
 
-def _weights_of(docs: DataFrame, words: DataFrame, preset: Preset) -> tuple[DataFrame, DataFrame]:
-    from tallyloom.operators.features import positions
-
-    if not preset.use_idf:
-        return words, positions(docs, words, carry=["label"])
-    weighted = words.withColumn("_idf", idf(F.col("df"), row_total(docs)))
-    out = positions(docs, weighted, carry=["label"], extra=["_idf"])
-    return words, out.withColumn("value", F.col("value") * F.col("_idf")).drop("_idf")
-
-
 def _run_library(training, testing, preset, size, seed, phases) -> DataFrame:
-    spark = training.sparkSession
-    terms, _ = training_features(training, size=size)
-    listed = collect_small(terms.withColumn("_idf", idf(F.col("df"), row_total(training))).orderBy("pos"), size)
-    vocabulary, factors = [r["term"] for r in listed], [r["_idf"] for r in listed]
-    train = mlfit.sparse_vectors(training.withColumn("label", F.col("label").cast("double")), vocabulary, factors)
-    test = mlfit.sparse_vectors(testing.withColumn("label", F.col("label").cast("double")), vocabulary, factors)
+    """The library models take vectors: the dictionary (at most ``size`` rows) becomes their vocabulary."""
+    with reused(training_dictionary(training, size)) as (terms,):
+        listed = collect_small(terms.withColumn("_idf", idf(F.col("df"), row_total(training))).orderBy("pos"), size)
+        held = positions(testing, terms)
+        found = held.agg(F.count_distinct("doc_id").cast("double").alias("n")).scalar()
+        seen = {r["pos"]: r["_idf"] for r in collect_small(
+            document_frequency(held).select("pos", idf(F.col("df"), found).alias("_idf")), size)}
+    vocabulary = [r["term"] for r in listed]
+    typed = [d.withColumn("label", F.col("label").cast("double")) for d in (training, testing)]
+    train = mlfit.sparse_vectors(typed[0], vocabulary, [r["_idf"] for r in listed])
+    # the test set is weighted by its own frequencies, as everywhere in this flow
+    test = mlfit.sparse_vectors(typed[1], vocabulary, [seen.get(r["pos"], 0.0) for r in listed])
     with reused(train) as (kept,):
         with phases("train"):
             if preset.model == "multinomial":
