@@ -11,6 +11,8 @@ from tallyloom.functions.text import letter_words
 from tallyloom.operators import features as ft, measures
 from tallyloom.operators.sampling import weighted_split
 from tallyloom.plans import descent, documents, mlfit
+from tallyloom.session import settled
+from tallyloom.sources.lines import spread
 from tallyloom.sources.sinks import reused
 
 # -- squared loss over line items -------------------------------------------------------
@@ -19,7 +21,7 @@ INPUTS = ["x0", "x1", "x2", "x3"]
 
 
 def _items(spark, folder):
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem")).select(
         F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("key"),
         F.lit(1.0).alias("x0"), F.col("l_quantity").alias("x1"), F.col("l_discount").alias("x2"), F.col("l_tax").alias("x3"),
         (F.col("l_extendedprice") / 10000.0).alias("y"))
@@ -181,7 +183,7 @@ def _prepared(spark, folder, negative, use_idf=True):
     docs = _docs(spark, folder)
     terms = ft.training_dictionary(docs, SIZE).persist()
     features = ft.training_weights(docs, terms, carry=["label"], use_idf=use_idf)
-    return docs, terms, descent.with_target(features, F.col("label") == 1, negative)
+    return docs, terms, descent.with_target(settled(features), F.col("label") == 1, negative)
 
 
 def _fit(spark, folder, model, rule, penalty, use_idf=True, batch=None):

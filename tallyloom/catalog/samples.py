@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.catalog.registry import query, sql_draw, sql_uniform, table
 from tallyloom.operators import ordered, sampling, stats
+from tallyloom.sources.lines import spread
 
 SEED = 13
 
@@ -81,7 +82,7 @@ def srs_fixed_n(spark, folder):
    ORDER BY {sql_draw("sample_id || ':' || event_id")}, event_id) AS i FROM events, range(1, 31) t(sample_id))
  SELECT sample_id::INT AS sample_id, round(avg(value), 6) AS mean FROM r WHERE i <= 50 GROUP BY sample_id""")
 def srs_means(spark, folder):
-    events = table(spark, folder, "events").select("event_id", "value")
+    events = spread(table(spark, folder, "events").select("event_id", "value"))
     means = stats.sample_means(sampling.repeated_samples(events, "event_id", 50, 30, SEED), "value")
     return means.withColumn("mean", F.round("mean", 6))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.catalog.registry import query, table
 from tallyloom.functions.text import last_number
 from tallyloom.operators import sequences as sq, vocabulary as vc
+from tallyloom.sources.lines import spread
 
 WORDS_KEPT, LENGTH = 500, 110
 
@@ -15,7 +16,7 @@ _CLEAN = r"""trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9'']+', ' '
 
 def _turns(spark, folder):
     """Turns as token arrays; role and position stand for tags and token order."""
-    turns = table(spark, folder, "conversations")
+    turns = spread(table(spark, folder, "conversations"))
     plain = F.trim(F.regexp_replace(F.lower("text"), "[^a-z0-9']+", " "))
     return turns.select("conv_id", "turn", "role", F.array_remove(F.split(plain, " "), "").alias("words"))
 
@@ -55,8 +56,9 @@ def tag_ids(spark, folder):
 @query("""WITH t AS (SELECT role, (dense_rank() OVER (ORDER BY f) - 1)::INT AS id FROM
  (SELECT role, min(conv_id * 1000000 + turn) AS f FROM conversations GROUP BY role)),
  e AS (SELECT conv_id, list(id ORDER BY turn) AS ids FROM conversations JOIN t USING (role) GROUP BY conv_id)
- SELECT conv_id, array_to_string(list_concat(ids, list_transform(range(greatest(12 - len(ids), 0)),
-  lambda x: (SELECT id FROM t WHERE role = 'user'))), ' ') AS ids FROM e""")
+, f AS (SELECT id AS fill FROM t WHERE role = 'user')
+ SELECT conv_id, array_to_string(list_concat(ids, list_resize([]::INT[], greatest(12 - len(ids), 0), fill)), ' ') AS ids
+ FROM e, f""")
 def encode_tags(spark, folder):
     turns = table(spark, folder, "conversations").withColumn("_at", F.col("conv_id") * 1000000 + F.col("turn"))
     tags = vc.appearance_ids(turns, "role", "_at")

@@ -8,6 +8,7 @@ from tallyloom.catalog.registry import query, table
 from tallyloom.functions.dates import short_date
 from tallyloom.operators import ordered, recode, stats, validity
 from tallyloom.operators.recode import drop_maximum
+from tallyloom.sources.lines import spread
 
 
 # -- recode ---------------------------------------------------------------------------
@@ -68,7 +69,7 @@ def date_cutoff(spark, folder):
 
 def trip_lines(spark, folder):
     """17-field lines made of line items, some with dirty fields or a field too many."""
-    li = table(spark, folder, "lineitem")
+    li = spread(table(spark, folder, "lineitem"))
     whole = lambda c: F.floor(c).cast("bigint").cast("string")
     fare = whole(F.col("l_extendedprice") / 400)
     fields = [

@@ -13,12 +13,13 @@ from tallyloom.operators import features as ft, vocabulary as vc
 from tallyloom.operators.recode import bag_union, class_from_prefix, parse_tagged_line, synthetic_ids
 from tallyloom.operators.sampling import weighted_split
 from tallyloom.operators.stats import class_counts as count_classes, distinct_values, frequencies
+from tallyloom.sources.lines import spread
 
 SIZE = 20000
 
 
 def docs_with_words(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
     return docs.select("doc_id", letter_words("text").alias("words"))
 
 
@@ -251,7 +252,7 @@ def social(spark, folder):
 @query(f"""SELECT doc_id, regexp_replace(lower(text),
  '([#$@][^{BLANK}]+)|(http[^{BLANK}]+)|[^{WORD}{BLANK}]', '', 'g') AS cleaned FROM documents""")
 def clean_social_documents(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", clean_social("text").alias("cleaned"))
+    return spread(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", clean_social("text").alias("cleaned"))
 
 
 @query(f"""SELECT conv_id, turn, regexp_replace(regexp_replace(lower(
@@ -264,7 +265,7 @@ def tagger(spark, folder):
 @query("""SELECT doc_id, array_to_string(list_filter(string_split(
  regexp_replace(lower(text), '[^a-z]', ' ', 'g'), ' '), lambda w: w <> ''), ' ') AS cleaned FROM documents""")
 def clean_lower_first(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", F.array_join(lowered_words("text"), " ").alias("cleaned"))
+    return spread(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", F.array_join(lowered_words("text"), " ").alias("cleaned"))
 
 
 # -- lines, classes -----------------------------------------------------------------
@@ -278,9 +279,9 @@ _LINE_SQL = """('<doc id="' || CASE WHEN quality = 1 THEN 'AU' ELSE 'G' END || d
    substr(line, instr(line, '">') + 2, length(line) - instr(line, '">') - 7) AS body FROM l WHERE toxic = 0
    UNION ALL SELECT 'AD' || doc_id, text FROM l WHERE toxic = 1)
  SELECT doc_id, CASE left(doc_id, 2) WHEN 'AD' THEN 1 WHEN 'AU' THEN 2 ELSE 0 END AS label,
-   length(body) AS chars, len({sql_words('body')}) AS n_words FROM parsed""")
+   length(body)::INT AS chars, len({sql_words('body')})::INT AS n_words FROM parsed""")
 def parse_doc_line(spark, folder):
-    docs = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
+    docs = spread(table(spark, folder, "documents")).join(table(spark, folder, "labels"), "doc_id")
     number = F.col("doc_id").cast("string")
     line = F.concat(
         F.lit('<doc id="'), F.when(F.col("quality") == 1, "AU").otherwise("G"), number,
@@ -294,7 +295,7 @@ def parse_doc_line(spark, folder):
 
 def labelled_documents(spark, folder):
     """Documents with labels: toxic 1, else quality 2, else 0."""
-    docs = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
+    docs = spread(table(spark, folder, "documents")).join(table(spark, folder, "labels"), "doc_id")
     return docs.withColumn("label", F.when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2).otherwise(0))
 
 

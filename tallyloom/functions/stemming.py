@@ -1,16 +1,18 @@
 """English Snowball (Porter2) stemming as built-in column expressions.
 
 The published algorithm trims suffixes that lie in two regions of a word: R1 is
-what follows the first non-vowel after a vowel, R2 the same within R1.  A region
-depends only on the head of the word, so "suffix in R1" is a pattern anchored at
-both ends.  Each step is one projection; branches test the suffix with
-``endswith`` first, so a pattern runs only for words that carry that suffix.
+what follows the first non-vowel after a vowel, R2 the same within R1.  Where the
+regions start is found once; a suffix lies in a region when the word without it is
+at least that long.  A step takes the longest listed suffix with one pattern and
+looks its replacement up in a small map, so the generated code stays short.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom.functions.once import once
+
 # Fixed values of the published algorithm.
 V = "[aeiouy]"
 C = "[^aeiouy]"
@@ -44,118 +46,105 @@ STEP_4 = [
     "ous", "ive", "ize", "ion", "al", "er", "ic",
 ]
 
-_heads = "|".join(SPECIAL_HEADS)
-R1 = f"(?:{_heads}|(?!{_heads}){C}*{V}+{C})"
-R2 = f"{R1}{C}*{V}+{C}"
-_W = "_stem"
+R1 = f"^(?:{'|'.join(SPECIAL_HEADS)})|^{C}*{V}+{C}"
+R2 = f"^{C}*{V}+{C}"
+_W, _S, _P1, _P2 = "_stem", "_suffix", "_r1", "_r2"
 
 
 def _w() -> Column:
     return F.col(_W)
 
 
-def _cut(n: int) -> Column:
-    return F.left(_w(), F.length(_w()) - n)
-
-
-def _swap(region: str, suffix: str, to: str) -> Column:
-    """Replace the suffix if it lies in the region, else leave the word alone."""
-    return F.regexp_replace(_w(), f"^({region}.*){suffix}$", f"$1{to}")
-
+def _start(text: Column, pattern: str) -> Column:
+    """Where a region starts: the length of the pattern's match, or the whole text."""
+    head = F.length(F.regexp_extract(text, pattern, 0))
+    return F.when(head > 0, head).otherwise(F.length(text))
 
-def _chain(branches: list[tuple[Column, Column]]) -> Column:
-    out = F
-    for test, value in branches:
-        out = out.when(test, value)
-    return out.otherwise(_w())
 
+def _suffix(suffixes) -> Column:
+    """The longest of the suffixes the word ends with, or an empty text."""
+    longest = max(len(s) for s in suffixes)
+    return F.regexp_extract(F.right(_w(), F.lit(longest)), f"({'|'.join(suffixes)})$", 1)
 
-def _ends(suffix: str) -> Column:
-    return _w().endswith(suffix)
 
+def _room() -> Column:
+    """Length of the word without its suffix."""
+    return F.length(_w()) - F.length(_S)
 
-def _plural() -> Column:
-    return _chain([
-        (_ends("sses"), _cut(2)),
-        (_ends("ied") | _ends("ies"), F.when(F.length(_w()) > 4, _cut(2)).otherwise(_cut(1))),
-        (_ends("us") | _ends("ss"), _w()),
-        (_ends("s"), F.regexp_replace(_w(), f"^(.*{V}.+)s$", "$1")),
-    ])
 
-
-def _past() -> tuple[Column, Column]:
-    """The word without ``ed``/``ing``/``ly`` forms, and whether one was removed."""
-    removable = [("ingly", 5), ("edly", 4), ("ing", 3), ("ed", 2)]
-    bare = {suffix: _ends(suffix) & _w().rlike(f"{V}.*{suffix}$") for suffix, _ in removable}
-    word = _chain([
-        (_ends("eedly"), _swap(R1, "eedly", "ee")),
-        (_ends("ingly"), F.when(bare["ingly"], _cut(5)).otherwise(_w())),
-        (_ends("edly"), F.when(bare["edly"], _cut(4)).otherwise(_w())),
-        (_ends("eed"), _swap(R1, "eed", "ee")),
-        (_ends("ing"), F.when(bare["ing"], _cut(3)).otherwise(_w())),
-        (_ends("ed"), F.when(bare["ed"], _cut(2)).otherwise(_w())),
-    ])
-    removed = ~(_ends("eedly") | _ends("eed")) & (
-        bare["ingly"] | bare["edly"] | bare["ing"] | bare["ed"]
+def _step(df: DataFrame, rules: dict[str, str], allowed: Column) -> DataFrame:
+    """Swap the longest suffix for its replacement where that is allowed."""
+    to = F.create_map(*[F.lit(x) for pair in rules.items() for x in pair])
+    swapped = F.concat(F.left(_w(), _room()), to[F.col(_S)])
+    return df.withColumn(_S, _suffix(rules)).withColumn(
+        _W, F.when((F.col(_S) != "") & allowed, swapped).otherwise(_w())
     )
-    return word, removed
-
-
-def _repair() -> Column:
-    short = ~_w().rlike(f"^{R1}.") & _w().rlike(f"{C}{V}[^aeiouywxY]$|^{V}{C}$")
-    return _chain([
-        (_ends("at") | _ends("bl") | _ends("iz"), F.concat(_w(), F.lit("e"))),
-        (F.right(_w(), F.lit(2)).isin(DOUBLES), _cut(1)),
-        (short, F.concat(_w(), F.lit("e"))),
-    ])
-
 
-def _step_2() -> Column:
-    table = [(_ends(s), _swap(R1, s, to)) for s, to in STEP_2.items()]
-    table.append((_ends("ogi"), F.when(_ends("logi"), _swap(R1, "ogi", "og")).otherwise(_w())))
-    table.append((_ends("li"), F.when(_w().rlike("[cdeghkmnrt]li$"), _swap(R1, "li", "")).otherwise(_w())))
-    return _chain(table)
 
-
-def _step_3() -> Column:
-    return _chain([(_ends(s), _swap(R2 if s == "ative" else R1, s, to)) for s, to in STEP_3.items()])
-
-
-def _step_4() -> Column:
-    table = []
-    for s in STEP_4:
-        cut = _swap(R2, s, "")
-        table.append((_ends(s), F.when(_w().rlike("[st]ion$"), cut).otherwise(_w()) if s == "ion" else cut))
-    return _chain(table)
+def _plural(df: DataFrame) -> DataFrame:
+    n, s = F.length(_w()), F.col(_S)
+    cut = (
+        F.when(s == "sses", 2)
+        .when(s.isin("ied", "ies"), F.when(n > 4, 2).otherwise(1))
+        .when((s == "s") & _w().rlike(f"{V}.+s$"), 1)
+        .otherwise(0)
+    )
+    return df.withColumn(_S, _suffix(["sses", "ied", "ies", "us", "ss", "s"])).withColumn(_W, F.left(_w(), n - cut))
+
+
+def _past(df: DataFrame) -> DataFrame:
+    s = F.col(_S)
+    bare = F.left(_w(), _room())
+    removed = s.isin("ingly", "edly", "ing", "ed") & bare.rlike(V)
+    df = df.withColumn(_S, _suffix(["eedly", "ingly", "edly", "eed", "ing", "ed"])).withColumns({
+        "_removed": removed,
+        _W: F.when(removed, bare)
+        .when(s.isin("eedly", "eed") & (_room() >= F.col(_P1)), F.concat(bare, F.lit("ee")))
+        .otherwise(_w()),
+    })
+    # a removed ending may leave a stem that needs its e back, or one of two equal letters less
+    short = (F.length(_w()) <= F.col(_P1)) & _w().rlike(f"{C}{V}[^aeiouywxY]$|^{V}{C}$")
+    double = _w().rlike(f"({'|'.join(DOUBLES)})$")
+    repaired = (
+        F.when(_w().rlike("(at|bl|iz)$"), F.concat(_w(), F.lit("e")))
+        .when(double, F.left(_w(), F.length(_w()) - 1))
+        .when(short, F.concat(_w(), F.lit("e")))
+        .otherwise(_w())
+    )
+    return df.withColumn(_W, F.when(F.col("_removed"), repaired).otherwise(_w())).drop("_removed")
 
 
-def _step_5() -> Column:
-    keeps_e = ~(F.length(_w()) >= 4) | _w().rlike(f"{C}{V}[^aeiouywxY]e$")
-    return _chain([
-        (_ends("ll"), _swap(R2, "l", "")),
-        (_ends("e"), F.when(_w().rlike(f"^{R2}.*e$") | (_w().rlike(f"^{R1}.*e$") & ~keeps_e), _cut(1)).otherwise(_w())),
-    ])
+def _final(df: DataFrame) -> DataFrame:
+    n = F.length(_w())
+    keeps_e = (n < 4) | _w().rlike(f"{C}{V}[^aeiouywxY]e$")
+    drop = (_w().endswith("ll") & (n > F.col(_P2))) | (
+        _w().endswith("e") & ((n > F.col(_P2)) | ((n > F.col(_P1)) & ~keeps_e))
+    )
+    return df.withColumn(_W, F.when(drop, F.left(_w(), n - 1)).otherwise(_w()))
 
 
 def with_stem(df: DataFrame, term: str, out: str = "stem") -> DataFrame:
     """Add the stem of a lower-case word column.  Narrow: no shuffle, no Python worker.
 
-    The last step leaves through a one-element ``explode``: the optimizer would
-    otherwise substitute the whole chain of steps into a later filter on the
-    stem, and each step mentions the one before it many times.
+    The result is computed ``once``: the optimizer would otherwise substitute the
+    whole chain of steps into a later filter on the stem, and each step mentions
+    the one before it several times.
     """
-    exceptions = F.create_map(*[F.lit(x) for pair in EXCEPTIONS.items() for x in pair])
-    marked = F.regexp_replace(F.regexp_replace(F.col(term), "^y", "Y"), f"({V})y", "$1Y")
-    df = df.withColumn(_W, marked).withColumn(_W, _plural())
-    past, removed = _past()
-    df = df.withColumns({_W: past, "_removed": removed})
-    df = df.withColumn(_W, F.when(F.col("_removed"), _repair()).otherwise(_w()))
+    word = F.regexp_replace(F.regexp_replace(F.col(term), "^y", "Y"), f"({V})y", "$1Y")
+    df = df.withColumn(_W, word).withColumn(_P1, _start(_w(), R1))
+    df = df.withColumn(_P2, F.col(_P1) + _start(F.expr(f"substr({_W}, {_P1} + 1)"), R2))
+    df = _past(_plural(df))
     df = df.withColumn(_W, F.regexp_replace(_w(), f"^(.+{C})[yY]$", "$1i"))
-    for step in (_step_2, _step_3, _step_4, _step_5):
-        df = df.withColumn(_W, step())
+    suffix, room = F.col(_S), _room()
+    in_1, in_2 = room >= F.col(_P1), room >= F.col(_P2)
+    df = _step(df, STEP_2 | {"ogi": "og", "li": ""}, in_1
+               & ((suffix != "ogi") | _w().endswith("logi")) & ((suffix != "li") | _w().rlike("[cdeghkmnrt]li$")))
+    df = _step(df, STEP_3, F.when(suffix == "ative", in_2).otherwise(in_1))
+    df = _step(df, {s: "" for s in STEP_4}, in_2 & ((suffix != "ion") | _w().rlike("[st]ion$")))
+    df = _final(df)
+    exceptions = F.create_map(*[F.lit(x) for pair in EXCEPTIONS.items() for x in pair])
     stem = (
         F.when(F.length(term) <= 2, F.col(term))
-        .when(F.col(term).isin(list(EXCEPTIONS)), exceptions[F.col(term)])
-        .otherwise(F.translate(_w(), "Y", "y"))
+        .otherwise(F.coalesce(F.try_element_at(exceptions, F.col(term)), F.translate(_w(), "Y", "y")))
     )
-    return df.withColumn(out, F.explode(F.array(stem))).drop(_W, "_removed")
+    return df.withColumn(out, once(stem)).drop(_W, _S, _P1, _P2)

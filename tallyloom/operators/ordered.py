@@ -15,7 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyloom.session import use_checkpoint_dir
+from tallyloom.session import settled
 
 PART, POS = "_part", "_pos"
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -32,13 +32,11 @@ def lay_out(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     ``order`` must be a total order.  Select the columns you need first: they
     are written once.
     """
-    use_checkpoint_dir(df.sparkSession)
     keys = [_sort_key(o) for o in order]
-    laid = (
+    laid = settled(
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint()
     )
     return (
         laid.withColumn(PART, F.shiftright("_mid", 33))

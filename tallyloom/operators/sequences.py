@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+def _each(records: Column | str, name: str) -> Column:
+    return F.transform(records, lambda r: r[name])
+
+
 def sentences(tokens: DataFrame, sid: str, order: str, word: str, lists: Sequence[str] = (),
               text: str = "sentence", chunk: int = 1024) -> DataFrame:
     """One row per sentence: words joined with a blank and each of ``lists`` as an ordered array.
@@ -23,15 +27,15 @@ def sentences(tokens: DataFrame, sid: str, order: str, word: str, lists: Sequenc
         sid,
         F.struct(
             "_chunk",
-            F.array_join(F.transform("_part", lambda r: r["_w"]), " ").alias("_text"),
-            *[F.transform("_part", lambda r, c=c: r[c]).alias(c) for c in lists],
+            F.array_join(_each("_part", "_w"), " ").alias("_text"),
+            *[_each("_part", c).alias(c) for c in lists],
         ).alias("_piece"),
     )
     joined = pieces.groupBy(sid).agg(F.array_sort(F.collect_list("_piece")).alias("_p"))
     return joined.select(
         sid,
-        F.array_join(F.transform("_p", lambda p: p["_text"]), " ").alias(text),
-        *[F.flatten(F.transform("_p", lambda p, c=c: p[c])).alias(c) for c in lists],
+        F.array_join(_each("_p", "_text"), " ").alias(text),
+        *[F.flatten(_each("_p", c)).alias(c) for c in lists],
     )
 
 
@@ -51,7 +55,7 @@ def encode(df: DataFrame, key: Sequence[str], items: str, table: DataFrame, out:
         .groupBy(*key)
         .agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
     )
-    return gathered.select(*key, F.transform("_pairs", lambda p: p["_id"]).alias(out))
+    return gathered.select(*key, _each("_pairs", "_id").alias(out))
 
 
 def decode(df: DataFrame, key: Sequence[str], ids: str, table: DataFrame, out: str = "words",
@@ -65,7 +69,7 @@ def decode(df: DataFrame, key: Sequence[str], ids: str, table: DataFrame, out: s
         .groupBy(*key)
         .agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
     )
-    return gathered.select(*key, F.transform("_pairs", lambda p: p[term]).alias(out))
+    return gathered.select(*key, _each("_pairs", term).alias(out))
 
 
 def pad(ids: Column | str, length: int, fill: int | Column = 0, padding: str = "post",

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom.functions.once import once
+
 FIELDS = [f"_c{i}" for i in range(17)]
 
 
@@ -21,9 +23,8 @@ def is_number(text: Column | str) -> Column:
 
 def split_fields(df: DataFrame, line: str = "value", width: int = 17, carry: Sequence[str] = ()) -> DataFrame:
     """Plain comma split without quoting; lines of another width drop out."""
-    parts = F.split(F.col(line), ",")
     return (
-        df.select(*carry, parts.alias("_parts"))
+        df.select(*carry, once(F.split(F.col(line), ",")).alias("_parts"))
         .where(F.size("_parts") == width)
         .select(*carry, *[F.col("_parts")[i].alias(f"_c{i}") for i in range(width)])
     )

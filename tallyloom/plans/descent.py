@@ -212,7 +212,11 @@ def no_penalty(w, loss, gradient):
 
 def fit_margin(features: DataFrame, width: int, model: RowLoss, rule: Descent, penalty=no_penalty,
                start: float = 0.1, key: str = "doc_id") -> Fit:
-    """Full-batch descent over features ``key, pos, value, y``: one aggregate per pass."""
+    """Full-batch descent over features ``key, pos, value, y``: one aggregate per pass.
+
+    Hand in ``settled`` features, so that a pass plans the aggregate only and not
+    how the features came about.
+    """
     _check_width(width)
     spark = features.sparkSession
     kept = arranged(features, key).persist(StorageLevel.MEMORY_AND_DISK)

@@ -24,6 +24,7 @@ from tallyloom.plans.descent import (
     Descent, Fit, batch_norm_penalty, fit_margin, fit_margin_batches, no_penalty, scalar_norm_penalty, with_target,
 )
 from tallyloom.plans.timing import Phases
+from tallyloom.session import settled
 from tallyloom.sources.sinks import collect_small, reused
 
 # (name, class searched for, class left out of training)
@@ -105,7 +106,7 @@ def run_documents(training: DataFrame, testing: DataFrame, preset: str | Preset,
     preset = replace(preset, passes=passes) if passes else preset
     phases = phases or Phases()
     if preset.stem:
-        training, testing = stem_documents(training), stem_documents(testing)
+        training, testing = settled(stem_documents(training)), settled(stem_documents(testing))
     spark = training.sparkSession
     if preset.model in ("multinomial", "forest"):
         return _run_library(training, testing, preset, size, seed, phases)
@@ -113,18 +114,18 @@ def run_documents(training: DataFrame, testing: DataFrame, preset: str | Preset,
     rows = []
     with reused(training, terms) as (docs, words):
         width = words.count()
-        with reused(training_weights(docs, words, carry=["label"], use_idf=preset.use_idf)) as (kept,):
-            fits = []
-            with phases("train"):
-                for name, target, without in preset.tasks:
-                    fits.append((name, target, fit_task(preset, docs, kept, width, target, without, seed, fast)))
-            with phases("test"):
-                held = scoring_features(testing, words, carry=["label"], idf_from="test" if preset.use_idf else "none")
-                with reused(held) as (scoring,):
-                    for name, target, fit in fits:
-                        scored = score_features(scoring, fit.weight_table(spark), carry=("label",), symbol=target)
-                        counts = confusion(scored, target, preset.policy)
-                        rows.append(rates(counts).first().asDict() | {"task": name, "losses": len(fit.losses)})
+        features = settled(training_weights(docs, words, carry=["label"], use_idf=preset.use_idf))
+        fits = []
+        with phases("train"):
+            for name, target, without in preset.tasks:
+                fits.append((name, target, fit_task(preset, docs, features, width, target, without, seed, fast)))
+        with phases("test"):
+            held = scoring_features(testing, words, carry=["label"], idf_from="test" if preset.use_idf else "none")
+            with reused(held) as (scoring,):
+                for name, target, fit in fits:
+                    scored = score_features(scoring, fit.weight_table(spark), carry=("label",), symbol=target)
+                    counts = confusion(scored, target, preset.policy)
+                    rows.append(rates(counts).first().asDict() | {"task": name, "losses": len(fit.losses)})
     schema = ("task string, losses int, tp bigint, tn bigint, fp bigint, fn bigint, "
               "precision double, recall double, f_score double, accuracy double")
     names = [f.split()[0] for f in schema.split(", ")]

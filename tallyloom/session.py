@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, name: str = "tallyloom") -> SparkSession:
@@ -43,3 +43,13 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="tallyloom-")
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows written once to the checkpoint folder: later plans start from there.
+
+    Used before loops, whose every pass would otherwise plan the whole history
+    again, and where two jobs must see the very same partitions.
+    """
+    use_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

@@ -8,14 +8,18 @@ from tallyloom.operators.recode import null_sentinels
 from tallyloom.operators.validity import FIELDS
 
 
-def text_lines(spark: SparkSession, path: str, spread: int | None = None) -> DataFrame:
-    """One row per line (``value``); compressed files are decoded by the reader.
+def spread(df: DataFrame) -> DataFrame:
+    """Move the rows of an input with fewer splits than cores (one gzip file, one row group) over all cores.
 
-    A file the reader cannot split (gzip) arrives as one partition: ``spread``
-    moves its lines over that many.
+    Input with enough splits, the normal case for large data, is returned as it is.
     """
-    lines = spark.read.text(path)
-    return lines.repartition(spread) if spread else lines
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row per line (``value``); compressed files are decoded by the reader."""
+    return spread(spark.read.text(path))
 
 
 def trip_lines(spark: SparkSession, path: str) -> DataFrame:
