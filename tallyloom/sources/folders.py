@@ -22,8 +22,7 @@ def labelled_texts(spark: SparkSession, root: str, glob: str = "*.txt",
     With ``class_names`` only those folders count and ``label_id`` follows their order.
     """
     files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob).text(root)
+        spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
         .select("path", _class_of(F.col("path")).alias("label"), "text")
     )
