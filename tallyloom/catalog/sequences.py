@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.catalog.registry import query, table
 from tallyloom.functions.text import last_number
 from tallyloom.operators import sequences as sq, vocabulary as vc
+from tallyloom.operators.lookup import small
 from tallyloom.sources.lines import spread
 
 WORDS_KEPT, LENGTH = 500, 110
@@ -31,10 +32,6 @@ def _ids_sql(first: int, size: int) -> str:
  voc AS MATERIALIZED (SELECT term, (row_number() OVER (ORDER BY n DESC, term) + {first - 1})::INT AS id FROM c)"""
 
 
-def _vocabulary(turns, size, first):
-    return vc.dictionary(vc.term_counts(turns), size, first_id=first, id_name="id").select("term", "id")
-
-
 def _text(column):
     return F.array_join(F.col(column).cast("array<string>"), " ")
 
@@ -61,9 +58,9 @@ def tag_ids(spark, folder):
  FROM e, f""")
 def encode_tags(spark, folder):
     turns = table(spark, folder, "conversations").withColumn("_at", F.col("conv_id") * 1000000 + F.col("turn"))
-    tags = vc.appearance_ids(turns, "role", "_at")
+    tags = vc.appearance_ids(turns, "role", "_at")  # kept by its numbering, so counting it is cheap
     listed = sq.sentences(turns, "conv_id", "turn", "text", ["role"])
-    ids = sq.encode(listed, ["conv_id"], "role", tags, term="role")
+    ids = sq.encode(listed, ["conv_id"], "role", small(tags), term="role")
     fill = tags.where(F.col("role") == "user").select("id").scalar()
     return ids.select("conv_id", sq.pad("ids", 12, fill, truncate=None).alias("ids")).withColumn("ids", _text("ids"))
 
@@ -74,13 +71,13 @@ def encode_tags(spark, folder):
  GROUP BY t.conv_id, t.turn""")
 def token_ids(spark, folder):
     turns = _turns(spark, folder)
-    ids = sq.encode(turns, ["conv_id", "turn"], "words", _vocabulary(turns, WORDS_KEPT, 2), unknown=1)
+    ids = sq.encode(turns, ["conv_id", "turn"], "words", vc.text_vocabulary(vc.term_counts(turns), WORDS_KEPT + 2), unknown=1)
     return ids.withColumn("ids", _text("ids"))
 
 
 def _known_ids(spark, folder):
     turns = _turns(spark, folder)
-    voc = _vocabulary(turns, WORDS_KEPT, 1)
+    voc = vc.tagger_vocabulary(vc.term_counts(turns), WORDS_KEPT + 1)
     return voc, sq.encode(turns, ["conv_id", "turn"], "words", voc)
 
 

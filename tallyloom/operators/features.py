@@ -10,7 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallyloom.operators.lookup import small
 from tallyloom.operators.vocabulary import dictionary, term_statistics
+from tallyloom.session import settled
 
 
 def positions(docs: DataFrame, terms: DataFrame, key: str = "doc_id", words: str = "words",
@@ -58,8 +60,12 @@ def idf(frequency, n_docs):
 
 
 def weigh(features: DataFrame, frequencies: DataFrame, n_docs) -> DataFrame:
-    """Multiply weights by the inverse document frequency.  ``n_docs`` is a number or a scalar subquery."""
-    factors = frequencies.select("pos", idf(F.col("df"), n_docs).alias("_idf"))
+    """Multiply weights by the inverse document frequency.  ``n_docs`` is a number or a scalar subquery.
+
+    The frequencies (a row per dictionary word) are kept and counted, and
+    broadcast when few enough: the features then stay where they are.
+    """
+    factors = small(settled(frequencies.select("pos", "df"))).select("pos", idf(F.col("df"), n_docs).alias("_idf"))
     return features.join(factors, "pos").withColumn("value", F.col("value") * F.col("_idf")).drop("_idf")
 
 

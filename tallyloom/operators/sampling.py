@@ -8,12 +8,16 @@ no sampler sorts the whole table or moves it to one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom.functions.hashing import BUCKETS, bucket_of, draw, fast_uniform, uniform
+from tallyloom.operators.lookup import small
 from tallyloom.operators.ordered import row_index, running_total
+from tallyloom.session import settled
 
 _BEFORE = (Window.unboundedPreceding, -1)
 
@@ -50,30 +54,40 @@ def mini_batch(df: DataFrame, key: str, size: int, total: int | Column, iteratio
     return df.where(u < F.lit(float(size)) / total)
 
 
-def nth_lowest(df: DataFrame, drawn: Column, key: str, n: int | Column) -> Column:
-    """The (draw, key) pair at place ``n`` of the random order, as a scalar subquery (null if n > rows)."""
-    n = n if isinstance(n, Column) else F.lit(n).cast("bigint")
-    keyed = df.select(drawn.alias("_u"), F.col(key).alias("_k"))
-    tallied = keyed.groupBy(bucket_of(F.col("_u")).alias("_b")).agg(F.count("*").alias("_n"))
+def cut_rows(df: DataFrame, drawn: Column, key: str, places: Callable[[int], Sequence[int]]) -> list[tuple | None]:
+    """The (draw, key) pairs at given places of the random order; None beyond the last row.
+
+    ``places`` gets the row count and names the places.  Two narrow scans: one
+    tallies the leading bits, one ranks the buckets that hold a place (each about
+    1/65,536 of the rows).  A pair per place comes to the driver.
+    """
+    keyed = df.select(drawn.alias("_u"), F.col(key).alias("_k")).withColumn("_b", bucket_of(F.col("_u")))
+    tally = settled(keyed.groupBy("_b").agg(F.count("*").alias("_n")))
+    wanted = list(places(tally.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(*_BEFORE)), F.lit(0))
-    edge = (
-        tallied.select("_b", "_n", before.alias("_before"))
-        .where((F.col("_before") < n) & (n <= F.col("_before") + F.col("_n")))
-        .select(F.struct("_b", (n - F.col("_before")).alias("_need")).alias("edge"))
-        .scalar()
-    )
-    in_bucket = keyed.where(bucket_of(F.col("_u")) == edge["_b"])
-    place = F.row_number().over(Window.orderBy("_u", "_k"))
-    return (
-        in_bucket.select("_u", "_k", place.alias("_place"))
-        .where(F.col("_place") == edge["_need"])
-        .select(F.struct("_u", "_k").alias("cut"))
-        .scalar()
+    place = F.explode(F.array(*[F.lit(p).cast("bigint") for p in wanted]))
+    holding = (
+        tally.select("_b", "_n", before.alias("_before"))
+        .select("*", place.alias("_at"))
+        .where((F.col("_before") < F.col("_at")) & (F.col("_at") <= F.col("_before") + F.col("_n")))
+        .collect()
     )
+    if not holding:
+        return [None] * len(wanted)
+    ranked = keyed.where(F.col("_b").isin([r["_b"] for r in holding])).withColumn(
+        "_place", F.row_number().over(Window.partitionBy("_b").orderBy("_u", "_k")))
+    pick = [(F.col("_b") == r["_b"]) & (F.col("_place") == r["_at"] - r["_before"]) for r in holding]
+    rows = {(r["_b"], r["_place"]): (r["_u"], r["_k"]) for r in ranked.where(reduce(or_, pick)).collect()}
+    found = {r["_at"]: rows[(r["_b"], r["_at"] - r["_before"])] for r in holding}
+    return [found.get(p) for p in wanted]
 
 
-def _up_to(drawn: Column, key: str, cut: Column) -> Column:
-    return F.coalesce(F.struct(drawn.alias("_u"), F.col(key).alias("_k")) <= cut, F.lit(True))
+def _up_to(drawn: Column, key: str, cut: tuple | None) -> Column:
+    """True for rows at or before the cut row in random order (all rows when there is no such row)."""
+    if cut is None:
+        return F.lit(True)
+    u, k = F.lit(cut[0]), F.lit(cut[1])
+    return (drawn < u) | ((drawn == u) & (F.col(key) <= k))
 
 
 def three_way_split(df: DataFrame, key: str, shares: Sequence[float] = (0.7, 0.15), seed: int | str = 13,
@@ -82,15 +96,16 @@ def three_way_split(df: DataFrame, key: str, shares: Sequence[float] = (0.7, 0.1
 
     Two cut rows are looked up; labelling is then a comparison without a shuffle.
     """
-    rows = df.agg(F.count("*").alias("n")).scalar()
-    first = F.floor(rows * F.lit(shares[0])).cast("bigint")
-    second = first + F.floor(rows * F.lit(shares[1])).cast("bigint") + 1
     drawn = draw(key, seed=seed)
-    label = (
-        F.when((first > 0) & _up_to(drawn, key, nth_lowest(df, drawn, key, first)), "train")
-        .when(_up_to(drawn, key, nth_lowest(df, drawn, key, second)), "validation")
-        .otherwise("test")
-    )
+
+    def places(n: int) -> list[int]:
+        first = int(shares[0] * n)
+        return [first, first + int(shares[1] * n) + 1]
+
+    train, validation = cut_rows(df, drawn, key, places)
+    # no row stands at place 0: nothing to train on
+    in_train = F.lit(False) if train is None else _up_to(drawn, key, train)
+    label = F.when(in_train, "train").when(_up_to(drawn, key, validation), "validation").otherwise("test")
     return df.withColumn(out, label)
 
 
@@ -106,7 +121,7 @@ def simple_random(df: DataFrame, key: str, n: int, seed: int | str = 13) -> Data
     drawn = draw(key, seed=seed)
     if n <= 0:
         return df.limit(0)
-    return df.where(_up_to(drawn, key, nth_lowest(df, drawn, key, n)))
+    return df.where(_up_to(drawn, key, cut_rows(df, drawn, key, lambda rows: [n])[0]))
 
 
 def lowest_per_stratum(df: DataFrame, strata: str, key: str, drawn: Column, sizes: DataFrame) -> DataFrame:
@@ -127,6 +142,8 @@ def lowest_per_stratum(df: DataFrame, strata: str, key: str, drawn: Column, size
         .groupBy(strata)
         .agg(F.max(F.struct("_b", (F.col("_size") - F.col("_before")).alias("_need"))).alias("_edge"))
     )
+    # one row per stratum: kept, counted and broadcast when few, so a hot stratum is not shuffled as one key
+    edges = small(settled(edges))
     near = marked.join(edges, strata).where(F.col("_b") <= F.col("_edge._b"))
     place = F.row_number().over(Window.partitionBy(strata, "_b").orderBy("_u", key))
     return (
@@ -141,11 +158,10 @@ def proportional_sizes(df: DataFrame, strata: str, n: int) -> DataFrame:
 
     Integer arithmetic: floor, then one more for the largest remainders (ties by name).
     """
-    freq = df.where(F.col(strata).isNotNull()).groupBy(strata).agg(F.count("*").alias("freq"))
-    total = freq.agg(F.sum("freq").alias("n")).scalar()
-    shared = freq.withColumn("_exact", F.lit(n).cast("bigint") * F.col("freq")).withColumns(
-        {"_floor": F.expr(f"cast({n} as bigint) * freq") - F.pmod(F.col("_exact"), total), "_rest": F.pmod(F.col("_exact"), total)}
-    ).withColumn("_base", (F.col("_floor") / total).cast("bigint"))
+    freq = settled(df.where(F.col(strata).isNotNull()).groupBy(strata).agg(F.count("*").alias("freq")))
+    total = freq.agg(F.coalesce(F.sum("freq"), F.lit(0))).first()[0]
+    shared = freq.withColumns({
+        "_base": F.expr(f"(cast({n} as bigint) * freq) div {total}"), "_rest": F.expr(f"(cast({n} as bigint) * freq) % {total}")})
     left = shared.agg((F.lit(n) - F.sum("_base")).alias("n")).scalar()
     # at most n strata can get one more, so only n rows are ranked
     lifted = (
@@ -260,12 +276,12 @@ def upsample(df: DataFrame, label: str, key: str, seed: int | str = 13) -> DataF
     Whole copies come from ``explode``; what is missing after them is a sample of
     the class without replacement.
     """
-    freq = df.groupBy(label).agg(F.count("*").alias("_n"))
-    largest = freq.agg(F.max("_n").alias("n")).scalar()
+    freq = settled(df.groupBy(label).agg(F.count("*").alias("_n")))
+    largest = F.lit(freq.agg(F.max("_n")).first()[0]).cast("bigint")
     plan = freq.select(label, F.floor(largest / F.col("_n")).cast("int").alias("_copies"),
                        F.pmod(largest, F.col("_n")).alias("size"))
     whole = (
-        df.join(plan.select(label, "_copies"), label)
+        df.join(small(plan.select(label, "_copies")), label)
         .select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("col")
     )
     rest = lowest_per_stratum(df, label, key, draw(key, seed=seed), plan.select(label, "size"))
@@ -280,7 +296,7 @@ def separability(df: DataFrame, score: str, label: str, key: str) -> DataFrame:
 
 
 __all__ = [
-    "BUCKETS", "with_split", "weighted_split", "hold_out", "mini_batch", "nth_lowest", "three_way_split", "shuffled",
+    "BUCKETS", "with_split", "weighted_split", "hold_out", "mini_batch", "cut_rows", "three_way_split", "shuffled",
     "simple_random", "lowest_per_stratum", "proportional_sizes", "stratified", "repeated_samples", "bootstrap",
     "systematic", "inclusion_probabilities", "pps_systematic", "upsample", "separability",
 ]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def _average(column: str, na: str) -> Column:
@@ -66,44 +67,32 @@ def class_ratio(df: DataFrame, label: str, top, bottom, out: str = "ratio") -> D
     return df.agg(F.try_divide(F.count_if(F.col(label) == top), F.count_if(F.col(label) == bottom)).alias(out))
 
 
-def _bounds(df: DataFrame, column: str) -> Column:
-    return df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi")).alias("b")).scalar()
-
-
 def density(df: DataFrame, column: str, bins: int = 30, by: str | None = None, align: str = "centred") -> DataFrame:
     """Equal-width density histogram: ``bin, left, right, n, density``; empty bins have no row.
 
     ``align='centred'``: the first bin is centred on the minimum and the last on
     the maximum (width = range / (bins - 1)).  ``'edges'``: bins cover exactly
     minimum to maximum.  Bins are closed on the right.  With ``by`` the edges are
-    shared and the density is that within each category.
+    shared and the density is that within each category.  Minimum, maximum and
+    count are read first.
     """
     known = df.where(F.col(column).isNotNull())
-    b = _bounds(known, column)
     x = F.col(column).cast("double")
-    lo, hi = b["lo"].cast("double"), b["hi"].cast("double")
-    if align == "centred" and bins > 1:
-        raw = (hi - lo) / F.lit(float(bins - 1))
-        width = F.when(raw > 0, raw).otherwise(F.lit(0.1))
-        origin = lo - width / 2
-    else:
-        raw = (hi - lo) / F.lit(float(bins))
-        width = F.when(raw > 0, raw).otherwise(F.lit(0.1))
-        origin = lo
-    place = F.least(F.greatest(F.ceil((x - origin) / width) - 1, F.lit(0)), F.lit(bins - 1)).cast("int")
+    lo, hi, rows = known.agg(F.min(x), F.max(x), F.count("*")).first()
+    lo, hi = lo or 0.0, hi or 0.0
+    centred = align == "centred" and bins > 1
+    width = (hi - lo) / (bins - 1 if centred else bins) or 0.1
+    origin = lo - width / 2 if centred else lo
+    place = F.ceil((x - F.lit(origin)) / F.lit(width)) - 1
+    place = F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1)).cast("int")
     keys = [by] if by else []
     binned = known.select(*keys, place.alias("bin")).groupBy(*keys, "bin").agg(F.count("*").alias("n"))
-    if by:
-        totals = known.groupBy(by).agg(F.count("*").alias("_total"))
-        match = F.col(by).eqNullSafe(F.col("_by"))
-        binned = binned.join(totals.select(F.col(by).alias("_by"), "_total"), match).drop("_by")
-        total = F.col("_total")
-    else:
-        total = known.agg(F.count("*").alias("n")).scalar()
-    left = origin + F.col("bin") * width
+    # the groups hold at most ``bins`` rows each
+    total = F.sum("n").over(Window.partitionBy(by)) if by else F.lit(rows)
+    left = F.lit(origin) + F.col("bin") * F.lit(width)
     return binned.select(
-        *keys, "bin", left.alias("left"), (left + width).alias("right"), "n",
-        (F.col("n") / (total * width)).alias("density"),
+        *keys, "bin", left.alias("left"), (left + F.lit(width)).alias("right"), "n",
+        (F.col("n") / (total * F.lit(width))).alias("density"),
     )
 
 
@@ -114,34 +103,28 @@ def round_histogram(df: DataFrame, column: str) -> DataFrame:
     range / bin count best (biased to larger steps as base statistics packages do).
     """
     known = df.where(F.col(column).isNotNull())
-    stat = known.agg(
-        F.struct(
-            F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"),
-            F.ceil(F.log2(F.count("*").cast("double")) + 1).alias("k"),
-        ).alias("s")
-    )
-    cell = (F.col("s.hi") - F.col("s.lo")) / F.col("s.k")
-    base = F.pow(F.lit(10.0), F.floor(F.log10("cell")))
-    step = (
-        F.when(10 * base - F.col("cell") < 1.5 * (F.col("cell") - 5 * base), 10 * base)
-        .when(5 * base - F.col("cell") < 2.75 * (F.col("cell") - 2 * base), 5 * base)
-        .when(2 * base - F.col("cell") < 1.5 * (F.col("cell") - base), 2 * base)
-        .otherwise(base)
-    )
-    shape = (
-        stat.withColumn("cell", F.when(cell > 0, cell).otherwise(F.lit(1.0)))
-        .withColumn("step", step)
-        .select(F.struct("step", (F.floor(F.col("s.lo") / F.col("step") + 1e-7)).alias("first")).alias("shape"))
-        .scalar()
-    )
-    x, step, first = F.col(column).cast("double"), shape["step"], shape["first"]
-    place = F.greatest(F.ceil(x / step - 1e-7) - 1, first).cast("bigint")
+    x = F.col(column).cast("double")
+    lo, hi, rows = known.agg(F.min(x), F.max(x), F.count("*")).first()
+    if not rows:
+        return known.select(x.alias("left"), x.alias("right"), F.lit(0).cast("bigint").alias("n"))
+    step = _round_step((hi - lo) / math.ceil(math.log2(rows) + 1) or 1.0)
+    first = math.floor(lo / step + 1e-7)
+    place = F.greatest(F.ceil(x / F.lit(step) - 1e-7) - 1, F.lit(first)).cast("bigint")
     return (
         known.select(place.alias("_bin")).groupBy("_bin").agg(F.count("*").alias("n"))
-        .select((F.col("_bin") * step).alias("left"), ((F.col("_bin") + 1) * step).alias("right"), "n")
+        .select((F.col("_bin") * F.lit(step)).alias("left"), ((F.col("_bin") + 1) * F.lit(step)).alias("right"), "n")
     )
 
 
+def _round_step(cell: float) -> float:
+    """1, 2, 5 or 10 times a power of ten: a larger one when it is near enough to the wanted cell."""
+    step = base = 10.0 ** math.floor(math.log10(cell))
+    for factor, bias in ((2, 1.5), (5, 2.75), (10, 1.5)):
+        if factor * base - cell < bias * (cell - step):
+            step = factor * base
+    return step
+
+
 def daily_counts(df: DataFrame, ts: str, out: str = "n") -> DataFrame:
     return df.groupBy(F.to_date(ts).alias("day")).agg(F.count("*").alias(out))
 

@@ -12,9 +12,14 @@ FIELDS = [f"_c{i}" for i in range(17)]
 
 
 def number(text: Column | str) -> Column:
-    """Text as a double, null when it is no number."""
-    c = F.col(text) if isinstance(text, str) else text
-    return F.trim(c).try_cast("double")
+    """Text as a double, null when it is no number.
+
+    ``nan`` and ``inf`` are numbers here.  The cast would also take a Java type
+    suffix (``1d``) and hexadecimal floats, which are no plain numbers.
+    """
+    c = F.lower(F.trim(F.col(text) if isinstance(text, str) else text))
+    suffixed = F.right(c, F.lit(1)).isin("d", "f") & ~c.isin("inf", "+inf", "-inf")
+    return F.when(~suffixed & ~F.contains(c, F.lit("x")), c.try_cast("double"))
 
 
 def is_number(text: Column | str) -> Column:

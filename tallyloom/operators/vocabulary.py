@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyloom.functions.stemming import with_stem
 from tallyloom.functions.text import STOP_WORDS
+from tallyloom.operators.ordered import row_index
 
 
 def term_counts(docs: DataFrame, words: str = "words") -> DataFrame:
@@ -42,6 +43,16 @@ def dictionary(counts: DataFrame, size: int = 20000, first_id: int = 0, id_name:
     return top.withColumn(id_name, (rank + F.lit(first_id - 1)).cast("int"))
 
 
+def tagger_vocabulary(counts: DataFrame, max_words: int = 36000) -> DataFrame:
+    """``term, id`` from 1 by frequency; only ids below ``max_words`` exist, 0 is padding."""
+    return dictionary(counts, max_words - 1, first_id=1, id_name="id").select("term", "id")
+
+
+def text_vocabulary(counts: DataFrame, max_tokens: int = 10000) -> DataFrame:
+    """``term, id`` from 2 by frequency; 0 is padding and 1 the unknown word, both part of ``max_tokens``."""
+    return dictionary(counts, max_tokens - 2, first_id=2, id_name="id").select("term", "id")
+
+
 def vocabulary_size(counts: DataFrame, approximate: bool = False) -> DataFrame:
     size = F.approx_count_distinct("term") if approximate else F.count_distinct("term")
     return counts.agg(size.alias("terms"))
@@ -72,6 +83,7 @@ def stem_documents(docs: DataFrame, key: str = "doc_id", words: str = "words", s
 
 
 def appearance_ids(df: DataFrame, value: str, order: str, out: str = "id") -> DataFrame:
-    """Values with ids 0, 1, ... by first appearance in ``order``.  One row per distinct value is numbered."""
+    """Values with ids 0, 1, ... by first appearance in ``order``."""
     first = df.groupBy(value).agg(F.min(order).alias("_first"))
-    return first.select(value, (F.row_number().over(Window.orderBy("_first", value)) - 1).alias(out))
+    numbered = row_index(first, ["_first", value], "_i")
+    return numbered.select(value, (F.col("_i") - 1).cast("int").alias(out))

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyloom.functions.hashing import fast_uniform, uniform
 from tallyloom.functions.losses import RowLoss
+from tallyloom.operators.lookup import small
+from tallyloom.session import settled
 
 MAX_WEIGHTS = 2_000_000
 
@@ -237,7 +239,8 @@ def fit_margin_batches(features: DataFrame, width: int, model: RowLoss, rule: De
     only its own documents.  Expected size kept: ``size * passes`` documents."""
     _check_width(width)
     spark = features.sparkSession
-    drawn = batch_members(features.select(key).distinct(), key, size, total, rule.passes, seed, fast)
+    # about size * passes rows: kept, counted and broadcast, so the features are not shuffled to find the batches
+    drawn = small(settled(batch_members(features.select(key).distinct(), key, size, total, rule.passes, seed, fast)))
     members = features.join(drawn, key).select(F.col(key).alias("_doc"), "_pass", "pos", "value", "y")
     first = F.row_number().over(Window.partitionBy("_pass", "_doc").orderBy("pos")) == 1
     kept = (

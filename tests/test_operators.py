@@ -44,6 +44,12 @@ def test_dictionary_smaller_than_asked(spark):
     assert [(r["term"], r["pos"]) for r in terms.orderBy("pos").collect()] == [("b", 0), ("a", 1)]
 
 
+def test_vocabularies_start_and_end(spark):
+    counts = spark.createDataFrame([(f"w{i}", 10 - i) for i in range(6)], "term string, n long")
+    assert {r["term"]: r["id"] for r in vc.tagger_vocabulary(counts, 4).collect()} == {"w0": 1, "w1": 2, "w2": 3}
+    assert {r["term"]: r["id"] for r in vc.text_vocabulary(counts, 4).collect()} == {"w0": 2, "w1": 3}
+
+
 def test_held_out_frequencies(spark):
     train = docs(spark, [("x", ["a", "b"]), ("y", ["a"])])
     test = docs(spark, [("p", ["a", "n"]), ("q", ["n"])])
@@ -72,6 +78,12 @@ def test_valid_trips(spark):
     assert sorted(tuple(r) for r in kept.collect()) == [(1.0, 2.0, 1.0, 3.0, 0.5, 10.5), (1.0, 60.0, 50.0, 200.0, 0.0, 210.0)]
 
 
+def test_number(spark):
+    df = spark.createDataFrame([("1e3",), (" 2 ",), ("1d",), ("2.5F",), ("0x1p3",), ("inf",), ("-Infinity",), ("",), ("abc",)], "t string")
+    assert [r[0] for r in df.select(validity.number("t")).collect()] == [
+        1000.0, 2.0, None, None, None, math.inf, -math.inf, None, None]
+
+
 def test_split_line_is_split_once(spark):
     lines = spark.read.text("tests/fixtures/trips.csv")
     plan = validity.valid_trips(validity.split_fields(lines))._jdf.queryExecution().optimizedPlan().toString()
