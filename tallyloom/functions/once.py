@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def once(expression: Column) -> Column:
@@ -13,3 +13,13 @@ def once(expression: Column) -> Column:
     split the line ten times.  They stop at ``explode``.
     """
     return F.explode(F.array(expression))
+
+
+def each(df: DataFrame, array: str, out: str, *keep: str) -> DataFrame:
+    """One row per element.
+
+    A plain ``explode`` of a computed column makes the optimizer add filters on
+    its size and its presence, which compute the array again; the outer form does
+    not, and the row it adds for an empty array is dropped afterwards.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(out)).where(F.col(out).isNotNull())

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallyloom.functions.once import each
 from tallyloom.operators.lookup import small
 from tallyloom.operators.vocabulary import dictionary, term_statistics
 from tallyloom.session import settled
@@ -30,7 +31,7 @@ def positions(docs: DataFrame, terms: DataFrame, key: str = "doc_id", words: str
         weight = F.lit(1.0) / F.col("doc_len")
     elif tf == "count":
         long = (
-            base.select(key, *carry, "doc_len", F.explode("_w").alias("term"))
+            each(base, "_w", "term", key, *carry, "doc_len")
             .groupBy(key, *carry, "doc_len", "term")
             .agg(F.count("*").alias("_n"))
         )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tallyloom.functions.once import each
 from tallyloom.functions.stemming import with_stem
 from tallyloom.functions.text import STOP_WORDS
 from tallyloom.operators.ordered import row_index
@@ -12,7 +13,7 @@ from tallyloom.operators.ordered import row_index
 def term_counts(docs: DataFrame, words: str = "words") -> DataFrame:
     """``term, n``: how often each word occurs.  Counted per partition before the shuffle, so a
     word that fills a third of the text costs one row per partition."""
-    return docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    return each(docs, words, "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
 def term_statistics(docs: DataFrame, words: str = "words") -> DataFrame:
