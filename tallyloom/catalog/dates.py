@@ -24,9 +24,12 @@ def lookup_ids(spark, folder):
     return lookup.by_ids(table(spark, folder, "documents"), wanted, "doc_id", ["doc_id", "lang", "n_chars"])
 
 
-@query("SELECT event_id, user_id, value FROM events WHERE user_id IN (1, 2, 3, 5, 8)")
+@query("""SELECT event_id, user_id, value FROM events
+ WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 50)""")
 def lookup_users(spark, folder):
-    return lookup.by_ids(table(spark, folder, "events"), [1, 2, 3, 5, 8], "user_id", ["event_id", "user_id", "value"])
+    events = table(spark, folder, "events")
+    wanted = events.where("event_type = 'error' AND value > 50").select("user_id")
+    return lookup.by_ids(events, wanted, "user_id", ["event_id", "user_id", "value"])
 
 
 @query("""SELECT event_id, '2024-01-14T00:00:00Z' AS day_start, '2024-01-14T23:59:59Z' AS day_end FROM events

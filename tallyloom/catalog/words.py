@@ -13,6 +13,7 @@ from tallyloom.operators import features as ft, vocabulary as vc
 from tallyloom.operators.recode import bag_union, class_from_prefix, parse_tagged_line, synthetic_ids
 from tallyloom.operators.sampling import weighted_split
 from tallyloom.operators.stats import class_counts as count_classes, distinct_values, frequencies
+from tallyloom.session import settled
 from tallyloom.sources.lines import spread
 
 SIZE = 20000
@@ -236,7 +237,7 @@ def stemmed_dictionary(spark, folder):
  SELECT doc_id, pos, round((1.0::DOUBLE / doc_len) * ln((SELECT count(*) FROM documents)::DOUBLE / (1 + df)), 9) AS value
  FROM (SELECT DISTINCT doc_id, term FROM tokens) JOIN lens USING (doc_id) JOIN terms USING (term)""")
 def stemmed_tfidf(spark, folder):
-    docs = vc.stem_documents(docs_with_words(spark, folder))
+    docs = settled(vc.stem_documents(docs_with_words(spark, folder)))
     out = ft.training_weights(docs, ft.training_dictionary(docs, SIZE))
     return out.select("doc_id", "pos", F.round("value", 9).alias("value"))
 

@@ -103,5 +103,7 @@ def scoring_features(docs: DataFrame, terms: DataFrame, key: str = "doc_id", car
     out = positions(docs, terms, key, carry=carry)
     if idf_from == "none":
         return out
+    # read three times: by the frequencies, by N and by the result
+    out = settled(out)
     with_word = out.agg(F.count_distinct(key).cast("double").alias("n")).scalar()
     return weigh(out, document_frequency(out), with_word)

@@ -41,17 +41,19 @@ def valid_trips(df: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
     NaN fails every bound: Spark orders it above all numbers, so the open bound
     tests for it.  Rows whose target (field 16) is no number drop out too.
     """
-    seconds, miles, fare, extra = (number(fields[i]) for i in (4, 5, 11, 12))
-    paid, target = number(fields[15]), number(fields[16])
-    return df.where(
-        seconds.between(120, 3600)
-        & miles.between(1, 50)
-        & fare.between(3, 200)
-        & extra.isNotNull()
-        & (paid >= 3)
-        & ~F.isnan(paid)
-        & target.isNotNull()
-    )
+    used = {"seconds": 4, "miles": 5, "fare": 11, "extra": 12, "paid": 15, "target": 16}
+    numbers = F.struct(*[number(fields[i]).alias(name) for name, i in used.items()])
+    parsed = df.select("*", once(numbers).alias("_n"))
+    n = {name: F.col(f"_n.{name}") for name in used}
+    return parsed.where(
+        n["seconds"].between(120, 3600)
+        & n["miles"].between(1, 50)
+        & n["fare"].between(3, 200)
+        & n["extra"].isNotNull()
+        & (n["paid"] >= 3)
+        & ~F.isnan(n["paid"])
+        & n["target"].isNotNull()
+    ).drop("_n")
 
 
 def minutes(seconds: Column | str) -> Column:

@@ -12,7 +12,6 @@ PAGE_SCHEMA = (
     "data array<struct<id:string, text:string, author_id:string, created_at:string>>, "
     "meta struct<next_token:string>"
 )
-COUNT_SCHEMA = "data array<struct<start:string, end:string, tweet_count:bigint>>"
 
 
 def read_pages(spark: SparkSession, path: str, schema: str = PAGE_SCHEMA) -> DataFrame:

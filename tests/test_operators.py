@@ -116,6 +116,13 @@ def test_search(spark):
     assert [r["t"] for r in found.collect()] == ["love #Crypto"]
 
 
+def test_by_ids(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, t string")
+    ids = spark.createDataFrame([(3,), (3,), (9,)], "x int")
+    assert [tuple(r) for r in lookup.by_ids(df, ids, "id").collect()] == [(3, None)]
+    assert [tuple(r) for r in lookup.by_ids(df, [1, 3], "id", ["t"]).orderBy("t").collect()] == [(None,), ("a",)]
+
+
 def test_small_marks_only_counted_sides(spark):
     big = spark.range(100)
     other = spark.range(1000).withColumnRenamed("id", "id")
