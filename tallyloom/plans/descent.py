@@ -149,13 +149,19 @@ def with_target(features: DataFrame, label: Column, negative: float) -> DataFram
     return features.withColumn("y", F.when(label, F.lit(1.0)).otherwise(F.lit(float(negative))))
 
 
-def arranged(features: DataFrame, key: str = "doc_id") -> DataFrame:
+def _partitions(df: DataFrame, rows: int, per_partition: int) -> int:
+    """Partitions for rows that are read again and again: few for little data, at least one per core."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // per_partition))
+
+
+def arranged(features: DataFrame, key: str = "doc_id", partitions: int | None = None) -> DataFrame:
     """Features partitioned and sorted by document, with one row per document marked.
 
     Keep the result in memory for a fit: each pass then sums margins per document
     without a shuffle or a sort.
     """
-    ordered = features.select(F.col(key).alias("_doc"), "pos", "value", "y").repartition("_doc")
+    ordered = features.select(F.col(key).alias("_doc"), "pos", "value", "y")
+    ordered = ordered.repartition(partitions, "_doc") if partitions else ordered.repartition("_doc")
     first = F.row_number().over(Window.partitionBy("_doc").orderBy("pos")) == 1
     return ordered.withColumn("_head", first)
 
@@ -221,7 +227,8 @@ def fit_margin(features: DataFrame, width: int, model: RowLoss, rule: Descent, p
     """
     _check_width(width)
     spark = features.sparkSession
-    kept = arranged(features, key).persist(StorageLevel.MEMORY_AND_DISK)
+    partitions = _partitions(features, features.count(), 4_000_000)
+    kept = arranged(features, key, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         def evaluate(i, w):
             loss, gradient, docs = _dense(pass_sums(kept, weight_table(spark, w), model), width)
@@ -244,7 +251,7 @@ def fit_margin_batches(features: DataFrame, width: int, model: RowLoss, rule: De
     members = features.join(drawn, key).select(F.col(key).alias("_doc"), "_pass", "pos", "value", "y")
     first = F.row_number().over(Window.partitionBy("_pass", "_doc").orderBy("pos")) == 1
     kept = (
-        members.repartition("_pass", "_doc").withColumn("_head", first)
+        members.repartition(_partitions(features, size * rule.passes, 10_000), "_pass", "_doc").withColumn("_head", first)
         .sortWithinPartitions("_pass", "_doc").persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
