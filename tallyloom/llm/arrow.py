@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` whose workers can import this package also when the driver was started elsewhere.
+def importable(df: DataFrame) -> None:
+    """Let workers import this package also when the driver was started elsewhere.
 
     On a cluster ship the package with ``--py-files``; the folder added here then matches nothing.
     """
@@ -20,6 +20,10 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
+
+
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    importable(df)
     return df.mapInArrow(fn, schema)
 
 
