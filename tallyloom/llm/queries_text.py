@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import packing, tokens
+from tallyloom.llm import packing, repeats, tokens
 from tallyloom.llm.registry import query, table
 
 
@@ -18,3 +18,8 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, folder, "documents"), keep=False)
