@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import packing, repeats, tokens
+from tallyloom.llm import langid, packing, repeats, tokens
 from tallyloom.llm.registry import query, table
 
 
@@ -23,3 +23,8 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.without_repeats(table(spark, folder, "documents"), keep=False)
+
+
+@query()
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identified(table(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score")
