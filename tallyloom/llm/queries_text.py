@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import langid, packing, repeats, tokens
+from tallyloom.llm import langid, mixing_lm, packing, repeats, tokens
 from tallyloom.llm.registry import query, table
 
 
@@ -28,3 +28,8 @@ def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identified(table(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op4_context_mixing_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing_lm.scored(table(spark, folder, "documents"))
