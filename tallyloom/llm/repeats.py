@@ -434,13 +434,14 @@ def _kept_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, keep: bool = True, carried: list[str] | None = None) -> DataFrame:
-    """Every row with ``kept`` (its bytes outside all repeats), ``n_removed``, ``n_spans``, ``kept_sha256``.
+    """Every row with ``kept`` (its bytes outside all repeats), ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``.
 
-    ``carried`` columns stay (``doc_id`` if not given).  A text without repeats stays whole, a null text is empty.
+    ``carried`` columns stay (``doc_id`` if not given).  A text without repeats
+    stays whole, a null text is empty.  Rows that repeat are copies of each other.
     """
     carried = carried or ["doc_id"]
     marked = with_row_id(docs)
-    spans = repeated_spans(marked)
+    spans = repeated_spans(marked, length)
     rows = marked.select(*carried, F.col("_rid"), F.col("text").cast("binary").alias("_bytes")).join(spans, "_rid", "left")
     return _apply(rows, carried, keep)
 
@@ -459,3 +460,21 @@ def _apply(rows: DataFrame, carried: list[str], keep: bool) -> DataFrame:
 
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in carried) + ", n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     return map_arrow(rows.select(*carried, "_rid", "_bytes", "spans"), run, schema + ", kept binary" * keep)
+
+
+def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with repeats cut from ``text`` and ``n_chars`` set anew; a character cut in two goes whole.
+
+    No row goes, also if nothing of its text is left.
+    """
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+
+    def readable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [v.as_py().decode("utf-8", "ignore") for v in batch.column(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*others, "text"])
+
+    kept = without_repeats(docs, length, carried=others).select(*others, "kept")
+    kinds = dict(docs.dtypes)
+    out = map_arrow(kept, readable, ", ".join(f"`{c}` {kinds[c]}" for c in others) + ", text string")
+    return out.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns) if "n_chars" in docs.columns else out.select(*docs.columns)

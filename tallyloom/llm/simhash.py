@@ -178,7 +178,15 @@ def near_classes(docs: DataFrame, distance: int = 4, key: str = "doc_id", text:
 
 
 def near_deduplicated(docs: DataFrame, distance: int = 4) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their class (rows without an id stay)."""
-    classes = near_classes(docs, distance)
-    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The document with the smallest id of every class.
+
+    Of rows that repeat an id one stays.  Rows without an id cannot be named as
+    members of a class and stay.
+    """
+    classes = settled(near_classes(docs, distance))
+    left = docs.join(classes.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti")
+    repeated = settled(classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if not repeated.isEmpty():
+        once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        left = left.join(repeated, "doc_id", "left_anti").unionByName(once)
+    return left.select(*docs.columns)
