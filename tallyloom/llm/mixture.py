@@ -12,6 +12,7 @@ the last checkpoint on its rows, so no rates are moved or gathered.
 from __future__ import annotations
 
 import math
+import operator
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,9 +25,11 @@ from tallyloom.session import settled
 
 #: Bounds of the fit: labelled rows of each domain, and words that become features (met in at least MIN_ROWS of them).
 SAMPLE_ROWS, FEATURES, MIN_ROWS = 3000, 2048, 5
+CLEAR = 20.0  # least likelihood-ratio statistic of a feature word
 _REPLAY = 16  # steps between checkpoints of the rates
 _CLEAN = bytes(c if chr(c).isalpha() or c >= 128 else 32 for c in range(256))
-_SHAPES = 5
+_LETTERS = bytes(range(65, 91)) + bytes(range(97, 123))
+_SHAPES = 10
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -35,13 +38,17 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def _shape(text: bytes, words: list[bytes]) -> list[float]:
-    size = max(1, len(text))
-    letters = size - len(text.translate(None, bytes(range(65, 91)) + bytes(range(97, 123))))
-    upper = size - len(text.translate(None, bytes(range(65, 91))))
-    spaces = size - len(text.translate(None, b" \t\n\r\x0b\x0c"))
-    high = size - len(text.translate(None, bytes(range(128, 256))))
-    return [upper / max(1, letters), 1 - (letters + spaces + high) / size, 1 - len(set(words)) / max(1, len(words)),
-            1.0 if not words else 0.0, min(1.0, 10 / (1 + len(words)))]
+    """Shares of capitals, signs, digits; words that repeat the one before; the commonest word; new words; short or no text."""
+    size, count = max(1, len(text)), max(1, len(words))
+    letters = size - len(text.translate(None, _LETTERS))
+    upper = size - len(text.translate(None, _LETTERS[:26]))
+    digits = size - len(text.translate(None, b"0123456789"))
+    plain = size - len(text.translate(None, b" \t\n\r\x0b\x0c" + bytes(range(128, 256))))
+    signs = max(0, size - letters - digits - plain)
+    again = sum(map(operator.eq, words, words[1:]))
+    counts = Counter(words)
+    return [upper / max(1, letters), 4.0 * (signs > 0.06 * size), signs / size, digits / size, 4.0 * (again > 0.1 * count), again / count,
+            max(counts.values(), default=0) / count, len(counts) / count, 1.0 if not words else 0.0, min(1.0, 10 / (1 + count))]
 
 
 class DomainModel:
@@ -58,7 +65,7 @@ class DomainModel:
         base = len(self.place)
         return at + list(range(base, base + _SHAPES)), [1.0] * len(at) + _shape(text, words), len(text.split())
 
-    def fit(self, texts: list[bytes], labels: np.ndarray, passes: int = 300, rate: float = 0.05, penalty: float = 1e-4) -> None:
+    def fit(self, texts: list[bytes], labels: np.ndarray, passes: int = 300, rate: float = 0.05, penalty: float = 3e-4) -> None:
         rows, cols, values = [], [], []
         for i, text in enumerate(texts):
             at, value, _ = self.features(text)
@@ -140,7 +147,7 @@ def fitted(docs: DataFrame, domains: DataFrame, rows: int = SAMPLE_ROWS) -> Doma
     # mutual information of a word's presence with the domain
     gain = sum((term(F.col(f"n{i}"), F.col("n"), per_domain[d])
                 + term(F.lit(per_domain[d]) - F.col(f"n{i}"), F.lit(whole) - F.col("n"), per_domain[d]) for i, d in enumerate(names)), F.lit(0.0))
-    best = counts.where(F.col("n") >= MIN_ROWS).orderBy(F.desc(F.round(gain, 12)), "word").limit(FEATURES).collect()
+    best = counts.where((F.col("n") >= MIN_ROWS) & (gain * (2 * whole) >= CLEAR)).orderBy(F.desc(F.round(gain, 12)), "word").limit(FEATURES).collect()
     model = DomainModel(names, [bytes(r["word"]) for r in best])
     lessons = found.collect()  # at most ``rows`` documents of each domain
     lessons.sort(key=lambda r: (r["domain"], r["doc_id"], bytes(r["text"])))
