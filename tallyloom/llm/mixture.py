@@ -3,10 +3,11 @@
 A softmax classifier, fitted on a bounded sample of the labelled table, gives every
 document the posterior of each domain.  A document of ``n`` tokens and rate ``r``
 then counts ``r n p_k`` expected tokens in domain ``k``.  Nonnegative rates whose
-totals come closest to the targets (least squares) are found by accelerated
-projected gradient steps from rate 1.  A step needs one number per domain from all
-documents, which each task sums over its own; every task replays the few steps since
-the last checkpoint on its rows, so no rates are moved or gathered.
+totals come closest to the targets (least squares, each domain's miss weighed by the
+inverse of the domains' second moments, so steps need no tuning and are few) are
+found by accelerated projected gradient steps from rate 1.  A step needs one number
+per domain from all documents, which each task sums over its own; every task replays
+the few steps since the last checkpoint on its rows, so no rates are moved or gathered.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ class DomainModel:
         base = len(self.place)
         return at + list(range(base, base + _SHAPES)), [1.0] * len(at) + _shape(text, words), len(text.split())
 
-    def fit(self, texts: list[bytes], labels: np.ndarray, passes: int = 300, rate: float = 0.05, penalty: float = 3e-4) -> None:
+    def fit(self, texts: list[bytes], labels: np.ndarray, shares: np.ndarray, passes: int = 300, rate: float = 0.05, penalty: float = 1e-4) -> None:
         rows, cols, values = [], [], []
         for i, text in enumerate(texts):
             at, value, _ = self.features(text)
@@ -75,8 +76,8 @@ class DomainModel:
         x = np.zeros((len(texts), len(self.weights)), np.float32)
         x[rows, cols] = values
         y = np.eye(len(self.names))[labels]
-        # classes count alike, whatever their share
-        weight = 1 / np.maximum(1, y.sum(0))[labels]
+        # a domain weighs what it does among all labelled rows, however many of its rows are here
+        weight = (shares / np.maximum(1, y.sum(0)))[labels]
         weight /= weight.sum()
         first = [np.zeros_like(self.weights), np.zeros_like(self.bias)]
         second = [np.zeros_like(self.weights), np.zeros_like(self.bias)]
@@ -114,6 +115,7 @@ def domain_of(labels: DataFrame) -> DataFrame:
 
 def fitted(docs: DataFrame, domains: DataFrame, rows: int = SAMPLE_ROWS) -> DomainModel | None:
     """Model of ``doc_id, domain``, learned on the ``rows`` documents of each domain with the lowest hash; None without any."""
+    labelled_rows = {r["domain"]: r["n"] for r in domains.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     sampled = domains.withColumn("_r", F.row_number().over(Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")))
     labelled = sampled.where(F.col("_r") <= 2 * rows).select("doc_id", "domain")  # some ids have no document
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", F.col("text").cast("binary").alias("text"))
@@ -152,7 +154,8 @@ def fitted(docs: DataFrame, domains: DataFrame, rows: int = SAMPLE_ROWS) -> Doma
     lessons = found.collect()  # at most ``rows`` documents of each domain
     lessons.sort(key=lambda r: (r["domain"], r["doc_id"], bytes(r["text"])))
     if len(names) > 1:
-        model.fit([bytes(r["text"]) for r in lessons], np.array([names.index(r["domain"]) for r in lessons]))
+        model.fit([bytes(r["text"]) for r in lessons], np.array([names.index(r["domain"]) for r in lessons]),
+                  np.array([labelled_rows[n] for n in names], float))
     return model
 
 
@@ -195,7 +198,7 @@ def _matrix(batch: pa.RecordBatch, at: int) -> np.ndarray:
     return values.reshape(batch.num_rows, -1)
 
 
-def rate_plan(members: DataFrame, targets: list[float], steps: int = 120, tolerance: float = 1e-5) -> list[tuple[float, np.ndarray]]:
+def rate_plan(members: DataFrame, targets: list[float], steps: int = 60, tolerance: float = 1e-5) -> list[tuple[float, np.ndarray]]:
     """The steps that bring the sums of ``rate * n_tokens * p`` over ``members`` closest to ``targets``.
 
     Steps are scaled by token count, so rates depend on what a document holds, not
@@ -208,7 +211,9 @@ def rate_plan(members: DataFrame, targets: list[float], steps: int = 120, tolera
     products = held.select(*[
         F.coalesce(F.sum(F.col("n_tokens") * F.get("p", F.lit(i)) * F.get("p", F.lit(j))), F.lit(0.0)).alias(f"m{i}_{j}")
         for i in range(width) for j in range(width)]).first()
-    largest = float(np.linalg.eigvalsh(np.array(products, float).reshape(width, width))[-1])
+    moments = np.array(products, float).reshape(width, width)
+    # with this weight the largest curvature is 1; a domain that no document holds gets no weight
+    weigh = np.linalg.pinv(moments, rcond=1e-10, hermitian=True)
     scale = max(1.0, float(np.abs(wanted).max()))
     plan: list[tuple[float, np.ndarray]] = []
     done = 0  # steps that the checkpointed rates already hold
@@ -238,14 +243,14 @@ def rate_plan(members: DataFrame, targets: list[float], steps: int = 120, tolera
         return map_arrow(held, run, "n_tokens bigint, p array<double>, _rate double, _last double")
 
     best, stale = math.inf, 0
-    for momentum in _steps(steps) if largest > 0 else []:
+    for momentum in _steps(steps):
         residual = totals(momentum) - wanted
         size = float(np.abs(residual).max()) / scale
         stale = stale + 1 if size > best * 0.999 else 0
         best = min(best, size)
-        if size < tolerance or stale >= 20:
+        if size < tolerance or stale >= 10:
             break
-        plan.append((momentum, residual / largest))
+        plan.append((momentum, weigh @ residual))
         if len(plan) - done == _REPLAY:
             held = settled(advanced())
             done = len(plan)
