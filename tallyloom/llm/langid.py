@@ -29,12 +29,8 @@ def held_out(key: str, modulus: int, remainder: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(modulus)) == remainder
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
 class ByteNetwork:
-    """Weights of both directions stacked: input table, recurrent matrix, bias of the recurrent candidate; output layer."""
+    """Gated recurrent units with piecewise linear gates.  Weights of both directions stacked: input table, recurrent matrix, bias of the recurrent candidate; output layer."""
 
     def __init__(self, classes: int, hidden: int = HIDDEN, seed: int = 7):
         draw = np.random.default_rng(seed)
@@ -56,11 +52,7 @@ class ByteNetwork:
         for t in range(steps):
             inputs = np.stack([w["x"][0][both[0, t]], w["x"][1][both[1, t]]])
             inner = state @ w["u"]
-            gates = inputs[:, :, : 2 * h] + inner[:, :, : 2 * h]
-            gates *= 0.5
-            np.tanh(gates, out=gates)
-            gates *= 0.5
-            gates += 0.5
+            gates = np.clip(0.25 * (inputs[:, :, : 2 * h] + inner[:, :, : 2 * h]) + 0.5, 0, 1)
             keep, reset = gates[:, :, :h], gates[:, :, h:]
             inside = inner[:, :, 2 * h :] + w["b"]
             fresh = inputs[:, :, 2 * h :] + reset * inside
@@ -76,11 +68,11 @@ class ByteNetwork:
         return out
 
     def _fast_states(self, codes: np.ndarray, mask: np.ndarray | None) -> np.ndarray:
-        """As ``states`` without a trace, in buffers that are reused; gates are halved once instead of at every step."""
+        """As ``states`` without a trace, in buffers that are reused; gates are scaled once instead of at every step."""
         h = self.hidden
-        half = np.ones(3 * h, np.float32)
-        half[: 2 * h] = 0.5
-        table, inner_of, bias = self.weights["x"] * half, self.weights["u"] * half, self.weights["b"]
+        scale, shift = np.ones(3 * h, np.float32), np.zeros(3 * h, np.float32)
+        scale[: 2 * h], shift[: 2 * h] = 0.25, 0.5
+        table, inner_of, bias = self.weights["x"] * scale + shift, self.weights["u"] * scale, self.weights["b"]
         steps, count = codes.shape
         out = np.empty((2, steps, count, h), np.float32)
         state = np.zeros((2, count, h), np.float32)
@@ -91,9 +83,8 @@ class ByteNetwork:
             np.take(table[1], codes[steps - 1 - t], axis=0, out=inputs[1], mode="clip")
             np.matmul(state, inner_of, out=inner)
             np.add(inputs[:, :, : 2 * h], inner[:, :, : 2 * h], out=gates)
-            np.tanh(gates, out=gates)
-            gates *= 0.5
-            gates += 0.5
+            np.maximum(gates, 0, out=gates)
+            np.minimum(gates, 1, out=gates)
             fresh = inner[:, :, 2 * h :] + bias
             fresh *= gates[:, :, h:]
             fresh += inputs[:, :, 2 * h :]
@@ -144,8 +135,8 @@ class ByteNetwork:
             state, keep, reset, inside, fresh = trace[t]
             d = (into[:, t] + back) * masks[:, t, :, None]
             d_fresh = d * (1 - keep) * (1 - fresh * fresh)
-            d_keep = d * (state - fresh) * keep * (1 - keep)
-            d_reset = d_fresh * inside * reset * (1 - reset)
+            d_keep = d * (state - fresh) * (0.25 * ((keep > 0) & (keep < 1)))
+            d_reset = d_fresh * inside * (0.25 * ((reset > 0) & (reset < 1)))
             d_inner = np.concatenate([d_keep, d_reset, d_fresh * reset], axis=2)
             d_input = np.concatenate([d_keep, d_reset, d_fresh], axis=2)
             grad["u"] += state.transpose(0, 2, 1) @ d_inner
