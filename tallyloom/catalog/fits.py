@@ -101,10 +101,10 @@ def linreg_losses(spark, folder):
     return fit.loss_table(spark).withColumn("loss", F.round("loss", 6))
 
 
-@query(_linear_sql(True, 20, _RATE, None) + _WEIGHTS_OUT)
+@query(_linear_sql(True, 300, _RATE, None) + _WEIGHTS_OUT)
 def linreg_minibatch_fit(spark, folder):
     fit = descent.fit_linear_batches(
-        _items(spark, folder), INPUTS, "y", "key", size=50, rate=1e-4, passes=20, fast=False)
+        _items(spark, folder), INPUTS, "y", "key", size=50, rate=1e-4, passes=300, fast=False)
     return _rounded_weights(fit, spark)
 
 
@@ -181,35 +181,31 @@ def _losses_out(passes: int) -> str:
 
 def _prepared(spark, folder, negative, use_idf=True):
     docs = _docs(spark, folder)
-    terms = ft.training_dictionary(docs, SIZE).persist()
+    terms = settled(ft.training_dictionary(docs, SIZE))
     features = ft.training_weights(docs, terms, carry=["label"], use_idf=use_idf)
     return docs, terms, descent.with_target(settled(features), F.col("label") == 1, negative)
 
 
 def _fit(spark, folder, model, rule, penalty, use_idf=True, batch=None):
     docs, terms, features = _prepared(spark, folder, -1.0 if model != "logistic" else 0.0, use_idf)
-    try:
-        width = terms.count()
-        if model == "weighted":
-            loss = weighted_hinge(measures.positive_share(docs, features, F.col("label") == 1).first()["pr"])
-        else:
-            loss = logistic() if model == "logistic" else hinge()
-        if batch is None:
-            return descent.fit_margin(features, width, loss, rule, penalty)
-        return descent.fit_margin_batches(features, width, loss, rule, batch, docs.count(), penalty, fast=False)
-    finally:
-        terms.unpersist()
+    width = terms.count()
+    if model == "weighted":
+        loss = weighted_hinge(measures.positive_share(docs, features, F.col("label") == 1).first()["pr"])
+    else:
+        loss = logistic() if model == "logistic" else hinge()
+    if batch is None:
+        return descent.fit_margin(features, width, loss, rule, penalty)
+    return descent.fit_margin_batches(features, width, loss, rule, batch, docs.count(), penalty, fast=False)
 
 
 def _step(spark, folder, model, use_idf=True):
     """Gradient of one pass at equal weights of 0.1."""
-    docs, terms, features = _prepared(spark, folder, -1.0 if model != "logistic" else 0.0, use_idf)
-    terms.unpersist()
+    docs, _, features = _prepared(spark, folder, -1.0 if model != "logistic" else 0.0, use_idf)
     if model == "weighted":
         loss = weighted_hinge(measures.positive_share(docs, features, F.col("label") == 1).first()["pr"])
     else:
         loss = logistic() if model == "logistic" else hinge()
-    flat = terms.select("pos", F.lit(0.1).alias("w"))
+    flat = features.select("pos").distinct().withColumn("w", F.lit(0.1))
     sums = descent.pass_sums(descent.arranged(features), flat, loss)
     return sums.select("pos", F.round("gradient", 9).alias("gradient"))
 
@@ -273,22 +269,16 @@ def weighted_svm_fit(spark, folder):
 @query(_margin_sql("logistic", 1, 1.0, "none") + """ SELECT term, pos, round(w, 9) AS w FROM w1 JOIN terms USING (pos)
  ORDER BY round(w, 9) DESC, pos LIMIT 25""")
 def top_coefficients(spark, folder):
-    docs, terms, features = _prepared(spark, folder, 0.0)
-    try:
-        fit = descent.fit_margin(features, terms.count(), logistic(), descent.Descent(1.0, None, 1))
-        return measures.top_terms(_rounded_weights(fit, spark, 9), ft.training_dictionary(docs, SIZE), 25).select("term", "pos", "w")
-    finally:
-        terms.unpersist()
+    _, terms, features = _prepared(spark, folder, 0.0)
+    fit = descent.fit_margin(features, terms.count(), logistic(), descent.Descent(1.0, None, 1))
+    return measures.top_terms(_rounded_weights(fit, spark, 9), terms, 25).select("term", "pos", "w")
 
 
 @query(_margin_sql("logistic", 1, 1.0, "none") + """ SELECT doc_id, round(sum(value * w), 9) AS margin,
  CASE WHEN sum(value * w) > 0.5 THEN 1 ELSE 0 END AS pred FROM feats JOIN w1 USING (pos) GROUP BY doc_id""")
 def score_documents(spark, folder):
-    docs, terms, features = _prepared(spark, folder, 0.0)
-    try:
-        fit = descent.fit_margin(features, terms.count(), logistic(), descent.Descent(1.0, None, 1))
-    finally:
-        terms.unpersist()
+    _, terms, features = _prepared(spark, folder, 0.0)
+    fit = descent.fit_margin(features, terms.count(), logistic(), descent.Descent(1.0, None, 1))
     scored = measures.score_features(features, fit.weight_table(spark), threshold=0.5)
     return scored.withColumn("margin", F.round("margin", 9))
 

@@ -36,11 +36,12 @@ def holdout_split(spark, folder):
 
 
 @query(f"""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
- WHERE {sql_uniform("l_orderkey || ':' || 7")} < 500.0::DOUBLE / (SELECT count(*) FROM lineitem)""")
+ WHERE {sql_uniform("l_orderkey || ':' || l_linenumber || ':' || 7")} < 500.0::DOUBLE / (SELECT count(*) FROM lineitem)""")
 def minibatch_rows(spark, folder):
     rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     total = rows.agg(F.count("*").cast("double").alias("n")).scalar()
-    return sampling.mini_batch(rows, "l_orderkey", 500, total, 7, SEED)
+    keyed = rows.withColumn("key", F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
+    return sampling.mini_batch(keyed, "key", 500, total, 7, SEED).drop("key")
 
 
 # -- batches -----------------------------------------------------------------------------
@@ -87,6 +88,22 @@ def srs_means(spark, folder):
     return means.withColumn("mean", F.round("mean", 6))
 
 
+@query(f"""WITH r AS (SELECT sample_id, value, row_number() OVER (PARTITION BY sample_id
+   ORDER BY {sql_draw("sample_id || ':' || event_id")}, event_id) AS i FROM events, range(1, 31) t(sample_id)),
+ m AS (SELECT avg(value) AS mean FROM r WHERE i <= 50 GROUP BY sample_id)
+ SELECT round(avg(mean), 6) AS mean_of_means, round((SELECT avg(value) FROM events), 6) AS population_mean FROM m""")
+def mean_of_means(spark, folder):
+    events = table(spark, folder, "events").select("event_id", "value")
+    means = stats.sample_means(sampling.repeated_samples(events, "event_id", 50, 30, SEED), "value")
+    whole = events.agg(F.avg("value").alias("m")).scalar()
+    return means.agg(F.round(F.avg("mean"), 6).alias("mean_of_means"), F.round(F.max(whole), 6).alias("population_mean"))
+
+
+@query(f"""SELECT event_id, row_number() OVER (ORDER BY {sql_draw('event_id')}, event_id) AS place FROM events""")
+def shuffled_places(spark, folder):
+    return sampling.shuffled_places(table(spark, folder, "events").select("event_id"), "event_id", SEED)
+
+
 @query(f"""WITH r AS (SELECT floor(value) AS v, row_number() OVER (ORDER BY event_id) AS i, count(*) OVER () AS n FROM events),
  d AS (SELECT floor({sql_uniform('i')} * n)::BIGINT + 1 AS i FROM r)
  SELECT r.v::BIGINT AS v, count(*) AS n, round(count(*) / (SELECT count(*) FROM d)::DOUBLE, 9) AS share

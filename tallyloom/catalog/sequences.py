@@ -10,7 +10,8 @@ from tallyloom.operators import sequences as sq, vocabulary as vc
 from tallyloom.operators.lookup import small
 from tallyloom.sources.lines import spread
 
-WORDS_KEPT, LENGTH = 500, 110
+#: Published vocabulary sizes of the text classifier and of the tagger, and the tagger's sequence length.
+TEXT_WORDS, TAGGER_WORDS, LENGTH = 10_000, 36_000, 110
 
 _CLEAN = r"""trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9'']+', ' ', 'g'), ' +', ' ', 'g'))"""
 
@@ -65,23 +66,23 @@ def encode_tags(spark, folder):
     return ids.select("conv_id", sq.pad("ids", 12, fill, truncate=None).alias("ids")).withColumn("ids", _text("ids"))
 
 
-@query(f"""WITH {_TURNS_SQL}, {_ids_sql(2, WORDS_KEPT)}
+@query(f"""WITH {_TURNS_SQL}, {_ids_sql(2, TEXT_WORDS)}
  SELECT t.conv_id, t.turn, coalesce(string_agg(i.id::VARCHAR, ' ' ORDER BY place), '') AS ids FROM turns t LEFT JOIN
  (SELECT conv_id, turn, place, coalesce(id, 1) AS id FROM tok LEFT JOIN voc USING (term)) i USING (conv_id, turn)
  GROUP BY t.conv_id, t.turn""")
 def token_ids(spark, folder):
     turns = _turns(spark, folder)
-    ids = sq.encode(turns, ["conv_id", "turn"], "words", vc.text_vocabulary(vc.term_counts(turns), WORDS_KEPT + 2), unknown=1)
+    ids = sq.encode(turns, ["conv_id", "turn"], "words", vc.text_vocabulary(vc.term_counts(turns), TEXT_WORDS + 2), unknown=1)
     return ids.withColumn("ids", _text("ids"))
 
 
 def _known_ids(spark, folder):
     turns = _turns(spark, folder)
-    voc = vc.tagger_vocabulary(vc.term_counts(turns), WORDS_KEPT + 1)
+    voc = vc.tagger_vocabulary(vc.term_counts(turns), TAGGER_WORDS + 1)
     return voc, sq.encode(turns, ["conv_id", "turn"], "words", voc)
 
 
-_KNOWN_SQL = f"""WITH {_TURNS_SQL}, {_ids_sql(1, WORDS_KEPT)},
+_KNOWN_SQL = f"""WITH {_TURNS_SQL}, {_ids_sql(1, TAGGER_WORDS)},
  known AS MATERIALIZED (SELECT t.conv_id, t.turn, coalesce(list(id ORDER BY place) FILTER (id IS NOT NULL), []) AS ids,
   coalesce(list(term ORDER BY place) FILTER (id IS NOT NULL), []) AS words
   FROM turns t LEFT JOIN (SELECT * FROM tok JOIN voc USING (term)) k USING (conv_id, turn) GROUP BY t.conv_id, t.turn)"""
@@ -107,8 +108,7 @@ def pad_sequences_front(spark, folder):
 @query(_KNOWN_SQL + " SELECT conv_id, turn, array_to_string(words, ' ') AS words FROM known")
 def decode_ids(spark, folder):
     voc, ids = _known_ids(spark, folder)
-    longest = ids.agg(F.max(F.size("ids"))).scalar()
-    padded = ids.withColumn("ids", F.concat("ids", F.array_repeat(F.lit(0), longest - F.size("ids"))))
+    padded = ids.withColumn("ids", sq.pad("ids", LENGTH, truncate=None))
     out = sq.decode(padded, ["conv_id", "turn"], "ids", voc)
     return out.withColumn("words", F.array_join("words", " "))
 

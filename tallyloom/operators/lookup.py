@@ -4,18 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a join side for broadcast only after counting that it has at most ``limit`` rows.
+def _bytes(df: DataFrame) -> Column:
+    """Size of a row: 16 bytes and 8 per column, and the length of what varies."""
+    varying = [F.octet_length(F.col(f.name).cast("string")) for f in df.schema.fields
+               if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType))]
+    return sum((F.coalesce(v, F.lit(0)) for v in varying), F.lit(16 + 8 * len(df.columns))).cast("bigint")
 
-    The count stops at ``limit + 1`` rows.  A larger side is returned unmarked,
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a join side for broadcast only after counting its rows and summing their bytes.
+
+    At most ``limit + 1`` rows are looked at.  A larger side is returned unmarked,
     and Spark picks a shuffle join (with AQE skew handling) for it.
     """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    rows, size = df.limit(limit + 1).agg(F.count("*"), F.coalesce(F.sum(_bytes(df)), F.lit(0))).first()
+    return F.broadcast(df) if rows <= limit and size <= limit_bytes else df
 
 
 def search(text: Column | str, any_of: Sequence[str], is_copy: Column | None = None,
@@ -34,8 +42,7 @@ def search(text: Column | str, any_of: Sequence[str], is_copy: Column | None = N
 def by_ids(df: DataFrame, ids: DataFrame | Sequence, key: str, fields: Sequence[str] | None = None) -> DataFrame:
     """Rows whose key is in the id list (a table of ids or a short literal list), with optional fields."""
     if isinstance(ids, DataFrame):
-        wanted = ids.select(F.col(ids.columns[0]).alias(key)).distinct()
-        found = df.join(wanted, key, "left_semi")
+        found = df.join(ids.select(F.col(ids.columns[0]).alias(key)), key, "left_semi")
     else:
         found = df.where(F.col(key).isin(list(ids)))
     return found.select(*fields) if fields else found

@@ -101,6 +101,17 @@ def synthetic_ids(df: DataFrame, out: str = "doc_id", prefix: str = "AD", key: C
     return df.withColumn(out, F.concat(F.lit(prefix), number.cast("string")))
 
 
+def numbered_copies(df: DataFrame, out: str = "key") -> DataFrame:
+    """A key per row that is the same on any layout: hash of the row and its number among equal rows.
+
+    Equal rows are counted map-side and repeated after the shuffle, so a row that
+    makes up much of the data is no hot group.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    each = counted.select(*df.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_i"))
+    return each.withColumn(out, F.concat_ws("-", F.lower(F.hex(F.xxhash64(*df.columns))), F.col("_i").cast("string"))).drop("_i")
+
+
 def bag_union(first: DataFrame, *others: DataFrame) -> DataFrame:
     """Union that keeps copies and matches columns by name."""
     for other in others:

@@ -8,18 +8,20 @@ no sampler sorts the whole table or moves it to one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyloom.functions.hashing import BUCKETS, bucket_of, draw, fast_uniform, uniform
+from tallyloom.functions.hashing import BUCKETS, SPAN, bucket_of, draw, fast_uniform, uniform
 from tallyloom.operators.lookup import small
 from tallyloom.operators.ordered import row_index, running_total
 from tallyloom.session import settled
 
 _BEFORE = (Window.unboundedPreceding, -1)
+COPIES_AT_ONCE = 10_000
 
 
 # -- splits -------------------------------------------------------------------
@@ -114,6 +116,11 @@ def shuffled(df: DataFrame, key: str, seed: int | str = 13) -> DataFrame:
     return df.orderBy(draw(key, seed=seed), key)
 
 
+def shuffled_places(df: DataFrame, key: str, seed: int | str = 13, out: str = "place") -> DataFrame:
+    """Every row's place (from 1) in the same random order."""
+    return row_index(df.withColumn("_u", draw(key, seed=seed)), ["_u", key], out).drop("_u")
+
+
 # -- samples of exact size ------------------------------------------------------
 
 def simple_random(df: DataFrame, key: str, n: int, seed: int | str = 13) -> DataFrame:
@@ -161,7 +168,8 @@ def proportional_sizes(df: DataFrame, strata: str, n: int) -> DataFrame:
     freq = settled(df.where(F.col(strata).isNotNull()).groupBy(strata).agg(F.count("*").alias("freq")))
     total = freq.agg(F.coalesce(F.sum("freq"), F.lit(0))).first()[0]
     shared = freq.withColumns({
-        "_base": F.expr(f"(cast({n} as bigint) * freq) div {total}"), "_rest": F.expr(f"(cast({n} as bigint) * freq) % {total}")})
+        "_base": F.expr(f"cast((cast({n} as decimal(19,0)) * freq) div {total} as bigint)"),
+        "_rest": F.expr(f"cast((cast({n} as decimal(19,0)) * freq) % {total} as bigint)")})
     left = shared.agg((F.lit(n) - F.sum("_base")).alias("n")).scalar()
     # at most n strata can get one more, so only n rows are ranked
     lifted = (
@@ -181,12 +189,26 @@ def stratified(df: DataFrame, strata: str, key: str, n: int, seed: int | str = 1
 
 
 def repeated_samples(df: DataFrame, key: str, n: int = 50, times: int = 30, seed: int | str = 13) -> DataFrame:
-    """``times`` independent samples of ``n`` rows, numbered by ``sample_id`` from 1."""
-    copies = df.withColumn("sample_id", F.explode(F.sequence(F.lit(1), F.lit(times))))
+    """``times`` independent samples of ``n`` rows, numbered by ``sample_id`` from 1.
+
+    A row only becomes a row of those samples for which its draw is low enough to
+    be among the first ``n`` with near certainty; the few that pass are ranked
+    exactly.  Should a sample fall short, all are drawn again with a wider bound.
+    """
+    rows, wanted = df.count(), n
+    size = n + 6 * math.sqrt(n) + 20
+    while True:
+        bound = F.lit(SPAN if size >= rows else int(SPAN * size / rows)).cast("bigint")
+        chosen = F.filter(F.sequence(F.lit(1), F.lit(times)), lambda s: draw(s, F.col(key), seed=seed) < bound)
+        near = settled(df.withColumn("sample_id", F.explode(chosen)))
+        held = near.groupBy("sample_id").agg(F.count("*").alias("n")).where(F.col("n") >= min(wanted, rows)).count()
+        if size >= rows or held == times:
+            break
+        size *= 2
     sizes = df.sparkSession.range(1, times + 1).select(
         F.col("id").cast("int").alias("sample_id"), F.lit(n).cast("bigint").alias("size")
     )
-    return lowest_per_stratum(copies, "sample_id", key, draw(F.col("sample_id"), F.col(key), seed=seed), sizes)
+    return lowest_per_stratum(near, "sample_id", key, draw(F.col("sample_id"), F.col(key), seed=seed), sizes)
 
 
 def bootstrap(df: DataFrame, order: Sequence[str], seed: int | str = 13, expand: bool = False) -> DataFrame:
@@ -247,25 +269,25 @@ def inclusion_probabilities(df: DataFrame, size: str, n: int, out: str = "pik")
 
 
 def pps_systematic(df: DataFrame, order: Sequence[str], pik: str = "pik", u: float | None = None,
-                   seed: int | str = 13, eps: float = 1e-6) -> DataFrame:
-    """Systematic draw with the given probabilities: a row is taken where the running sum passes ``u + integer``.
-
-    Probabilities are summed as scaled integers, so the running sum does not
-    depend on the order of additions.  Rows with probability 1 are always taken.
+                   seed: int | str = 13) -> DataFrame:
+    """Systematic draw with the given probabilities: a row is taken where the running sum passes ``(u + j) * step``.
+
+    Rows with probability 1 are always taken, rows with 0 never.  The others are
+    summed as decimals, so the running sum does not depend on the order of
+    additions, and however small they are each has its share.  ``step`` is 1, or
+    what makes the sum a whole number of steps if it is one but for rounding, so
+    exactly that many rows are drawn.
     """
-    certain = df.where(F.col(pik) >= 1 - eps)
-    open_rows = df.where((F.col(pik) > eps) & (F.col(pik) < 1 - eps))
-    expected = open_rows.agg(F.coalesce(F.sum(pik), F.lit(0.0))).first()[0]
-    unit = 10 ** min(12, 17 - len(str(int(expected))))
-    shift = (
-        F.lit(int(round(u * unit))).cast("bigint") if u is not None
-        else F.floor(uniform(F.lit("start"), seed=seed) * unit).cast("bigint")
-    )
-    scaled = open_rows.withColumn("_p", F.round(F.col(pik) * F.lit(float(unit))).cast("bigint"))
-    summed = running_total(scaled, order, "_p", "_cum")
-    wheel = F.lit(unit).cast("bigint")
-    passes = F.pmod(F.col("_cum") - F.col("_p") - shift, wheel) > F.pmod(F.col("_cum") - shift, wheel)
-    return summed.where(passes).select(*df.columns).unionByName(certain)
+    certain = df.where(F.col(pik) >= 1)
+    shares = df.where((F.col(pik) > 0) & (F.col(pik) < 1)).withColumn("_p", F.col(pik).cast("decimal(28,20)"))
+    whole = float(shares.agg(F.coalesce(F.sum("_p"), F.lit(0).cast("decimal(38,20)"))).first()[0])
+    step = whole / round(whole) if round(whole) and abs(whole - round(whole)) < 1e-6 else 1.0
+    start = F.lit(float(u)) if u is not None else uniform(F.lit("start"), seed=seed)
+    summed = running_total(shares, order, "_p", "_cum")
+    # marks below a running sum; a row's lower sum is exactly the upper one of the row before
+    marks = lambda x: F.ceil(F.round(x.cast("double") / F.lit(step) - start, 9))
+    taken = marks(F.col("_cum")) > marks(F.col("_cum") - F.col("_p"))
+    return summed.where(taken).select(*df.columns).unionByName(certain)
 
 
 # -- balancing --------------------------------------------------------------------
@@ -277,13 +299,19 @@ def upsample(df: DataFrame, label: str, key: str, seed: int | str = 13) -> DataF
     the class without replacement.
     """
     freq = settled(df.groupBy(label).agg(F.count("*").alias("_n")))
-    largest = F.lit(freq.agg(F.max("_n")).first()[0]).cast("bigint")
-    plan = freq.select(label, F.floor(largest / F.col("_n")).cast("int").alias("_copies"),
-                       F.pmod(largest, F.col("_n")).alias("size"))
-    whole = (
-        df.join(small(plan.select(label, "_copies")), label)
-        .select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("col")
+    largest_n = freq.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
+    largest = F.lit(largest_n).cast("bigint")
+    plan = freq.select(label, F.expr(f"{largest_n} div _n").alias("_copies"), F.pmod(largest, F.col("_n")).alias("size"))
+    marked = df.join(small(plan.select(label, "_copies")), label)
+    few = marked.where(F.col("_copies") <= COPIES_AT_ONCE).withColumn("_times", F.col("_copies"))
+    # very many copies of a row are made by many tasks: first in blocks, then row by row
+    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {COPIES_AT_ONCE}")))
+    many = (
+        marked.where(F.col("_copies") > COPIES_AT_ONCE).withColumn("_block", block)
+        .withColumn("_times", F.least(F.lit(COPIES_AT_ONCE), F.col("_copies") - F.col("_block") * COPIES_AT_ONCE))
+        .repartition(key, "_block").drop("_block")
     )
+    whole = few.unionByName(many).select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).drop("col")
     rest = lowest_per_stratum(df, label, key, draw(key, seed=seed), plan.select(label, "size"))
     return whole.unionByName(rest)
 
@@ -296,7 +324,7 @@ def separability(df: DataFrame, score: str, label: str, key: str) -> DataFrame:
 
 
 __all__ = [
-    "BUCKETS", "with_split", "weighted_split", "hold_out", "mini_batch", "cut_rows", "three_way_split", "shuffled",
+    "BUCKETS", "with_split", "weighted_split", "hold_out", "mini_batch", "cut_rows", "three_way_split", "shuffled", "shuffled_places",
     "simple_random", "lowest_per_stratum", "proportional_sizes", "stratified", "repeated_samples", "bootstrap",
     "systematic", "inclusion_probabilities", "pps_systematic", "upsample", "separability",
 ]

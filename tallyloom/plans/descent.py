@@ -120,11 +120,9 @@ def batch_members(df: DataFrame, key: str, size: int, total: int, passes: int, s
 
     All passes are drawn in one scan instead of one scan per pass.
     """
-    chance = (fast_uniform if fast else uniform)(F.col(key), F.col("_pass"), seed=seed)
-    return (
-        df.withColumn("_pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))))
-        .where(chance < F.lit(size / total))
-    )
+    draw = fast_uniform if fast else uniform
+    member = F.filter(F.sequence(F.lit(0), F.lit(passes - 1)), lambda p: draw(F.col(key), p, seed=seed) < F.lit(size / total))
+    return df.withColumn("_pass", F.explode(member))
 
 
 def fit_linear_batches(df: DataFrame, inputs: Sequence[str], target: str, key: str, size: int = 50,

@@ -17,7 +17,7 @@ from tallyloom.operators.features import (
     document_frequency, idf, positions, row_total, scoring_features, training_dictionary, training_weights,
 )
 from tallyloom.operators.measures import confusion, f_by_label, positive_share, rates, score_features
-from tallyloom.operators.recode import bag_union, class_from_prefix, parse_tagged_line, synthetic_ids
+from tallyloom.operators.recode import bag_union, class_from_prefix, numbered_copies, parse_tagged_line, synthetic_ids
 from tallyloom.operators.vocabulary import stem_documents
 from tallyloom.plans import mlfit
 from tallyloom.plans.descent import (
@@ -61,11 +61,15 @@ PRESETS = {
 
 
 def documents_from_lines(tagged: DataFrame, promotions: DataFrame | None = None, key: str | None = None) -> DataFrame:
-    """``doc_id, label, words`` from tagged lines and, whole, from promotion lines."""
+    """``doc_id, label, words`` from tagged lines and, whole, from promotion lines.
+
+    Promotions without a ``key`` are named by their text and number among equal lines.
+    """
     parsed = parse_tagged_line(tagged).where(F.col("doc_id").isNotNull() & F.col("body").isNotNull())
     docs = parsed.select("doc_id", F.col("body").alias("text"))
     if promotions is not None:
-        named = synthetic_ids(promotions, key=key).select("doc_id", F.col("value").alias("text"))
+        keyed = numbered_copies(promotions.select("value")) if key is None else promotions
+        named = synthetic_ids(keyed, key=key or "key").select("doc_id", F.col("value").alias("text"))
         docs = bag_union(docs, named)
     return docs.select("doc_id", class_from_prefix("doc_id").alias("label"), letter_words("text").alias("words"))
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tallyloom.operators.measures import mean_squared_error, score_columns
+from tallyloom.operators.recode import numbered_copies
 from tallyloom.operators.sampling import weighted_split
 from tallyloom.operators.validity import split_fields, trip_features, valid_trips
 from tallyloom.plans.descent import Fit, fit_linear, fit_linear_batches
@@ -14,8 +15,8 @@ INPUTS = ["x0", "x1", "x2", "x3", "x4"]
 
 
 def trip_table(lines: DataFrame) -> DataFrame:
-    """Valid trips of comma-separated lines as features, keyed by a hash of the line."""
-    fields = split_fields(lines.withColumn("key", F.xxhash64("value")), carry=["key"])
+    """Valid trips of comma-separated lines as features, keyed by the line and its number among equal lines."""
+    fields = split_fields(numbered_copies(lines.select("value")), carry=["key"])
     return trip_features(valid_trips(fields), carry=["key"])
 
 

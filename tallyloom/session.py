@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -19,6 +17,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, name: str = "tall
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -28,9 +27,9 @@ def local_session(cores: int | str = "*", partitions: int = 8, name: str = "tall
 def use_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint`` usable and return the folder in use.
 
-    The folder the cluster names in ``spark.checkpoint.dir`` wins.  Only a local
-    session without that setting falls back to a temporary folder, because a
-    machine-local folder cannot be read by other executors.
+    The folder the cluster names in ``spark.checkpoint.dir`` wins.  A local session
+    without that setting uses a folder under its warehouse path; on a cluster a
+    folder must be named, because other executors have to read it.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -40,7 +39,7 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
     if not named:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="tallyloom-")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
 

@@ -325,3 +325,51 @@ def test_encode_decode(spark):
     assert {r["k"]: r["ids"] for r in kept.collect()} == {1: [2, 9, 1], 2: [9], 3: []}
     back = sq.decode(kept.withColumn("ids", sq.pad("ids", 4)), ["k"], "ids", table)
     assert {r["k"]: r["words"] for r in back.collect()} == {1: ["b", "a"], 2: [], 3: []}
+
+
+def test_pps_with_very_many_rows(spark):
+    """Shares below one in a million still add up to the wanted number of rows."""
+    rows = spark.range(3_000_000).withColumn("a", F.lit(1.0))
+    weighted = sampling.inclusion_probabilities(rows, "a", 2)
+    for u in (0.0, 0.11, 0.37, 0.999):
+        assert sampling.pps_systematic(weighted, ["id"], u=u).count() == 2
+
+
+def test_upsample_of_one_row(spark):
+    df = spark.range(30_001).select("id", (F.col("id") == 0).cast("int").alias("y"))
+    out = sampling.upsample(df, "y", "id").groupBy("y").agg(F.count("*").alias("n"), F.count_distinct("id").alias("d"))
+    assert {r["y"]: (r["n"], r["d"]) for r in out.collect()} == {0: (30_000, 30_000), 1: (30_000, 1)}
+
+
+def test_repeated_samples_are_exact(spark):
+    df = spark.range(500)
+    got = sampling.repeated_samples(df, "id", 20, 6).groupBy("sample_id").agg(F.collect_set("id").alias("ids")).collect()
+    draws = df.select("id", *[sampling.draw(F.lit(s), "id").alias(f"d{s}") for s in range(1, 7)]).collect()
+    want = {s: {r["id"] for r in sorted(draws, key=lambda r: (r[f"d{s}"], r["id"]))[:20]} for s in range(1, 7)}
+    assert {r["sample_id"]: set(r["ids"]) for r in got} == want
+    assert sampling.repeated_samples(df.limit(3), "id", 20, 2).count() == 6
+
+
+def test_shuffled_orders_agree(spark):
+    rows = [r["id"] for r in sampling.shuffled(spark.range(300), "id").collect()]
+    places = {r["id"]: r["place"] for r in sampling.shuffled_places(spark.range(300), "id").collect()}
+    assert sorted(rows) == list(range(300)) and rows != sorted(rows) and [places[i] for i in rows] == list(range(1, 301))
+
+
+def test_small_counts_bytes(spark):
+    from tallyloom.operators.lookup import small
+
+    wide = spark.range(50).select("id", F.repeat(F.lit("x"), 1000).alias("t"))
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    assert hinted(small(wide)) and not hinted(small(wide, limit_bytes=20_000)) and hinted(small(spark.range(50), limit_bytes=20_000))
+
+
+def test_ids_of_copies_do_not_depend_on_layout(spark):
+    from tallyloom.operators.recode import numbered_copies
+    from tallyloom.plans.documents import documents_from_lines
+
+    lines = spark.createDataFrame([(f"promo {i % 7}",) for i in range(100)], "value string")
+    tagged = spark.createDataFrame([], "value string")
+    ids = [sorted(r["doc_id"] for r in documents_from_lines(tagged, lines.repartition(n)).collect()) for n in (2, 7)]
+    assert ids[0] == ids[1] and len(set(ids[0])) == 100
+    assert numbered_copies(lines.limit(0)).count() == 0
