@@ -170,6 +170,51 @@ def _margin_sql(model: str, passes: int, rate: float, penalty: str, idf: bool =
     return f"WITH {_DOCS_SQL}, {feats}{share}, " + ",".join(steps)
 
 
+def _whole_sql(model: str, passes: int, rate: float, tolerance: float, penalty: str, idf: bool = True, batch: int | None = None,
+               seed: int = 13) -> str:
+    """The whole descent with its stop test as a recursive query; the weights are one list per pass."""
+    start = _margin_sql(model, 0, rate, penalty, idf, batch, seed)
+    prelude = start[len("WITH "):].rsplit(", w0 AS MATERIALIZED", 1)[0].rstrip().rstrip(",")
+    loss = {
+        "logistic": "-y * m + greatest(m, 0) + ln(1 + exp(-abs(m)))",
+        "hinge": "greatest(0, 1 - y * m)",
+        "weighted": "greatest(0, (CASE WHEN y > 0 THEN 1 - pr ELSE pr END) * (1 - y * m))",
+    }[model]
+    slope = {
+        "logistic": "1 / (1 + exp(-m)) - m.y",
+        "hinge": "CASE WHEN m.y * m > 1 THEN 0 ELSE -m.y END",
+        "weighted": "CASE WHEN m.y * m > 1 THEN 0 ELSE -m.y * (CASE WHEN m.y > 0 THEN 1 - pr ELSE pr END) END",
+    }[model]
+    kind, _, factor = penalty.partition(":")
+    b = f"{batch}.0::DOUBLE" if batch else "1"
+    r = f"(1.0::DOUBLE / ({factor or 1}::DOUBLE * {b}))"
+    whole_loss, whole_gradient = {
+        "none": ("raw", "z[2]"),
+        "scalar": (f"raw + 2 * {factor}::DOUBLE * norm", f"(z[2] + 2 * {factor}::DOUBLE * norm)"),
+        "batch": (f"{r} * 0.5 * norm + raw / {b}", f"({r} * z[1] + z[2] / {b})"),
+    }[kind]
+    chance = sql_uniform("f.doc_id || ':' || it.i", seed)
+    member = f"AND {chance} < {batch}.0::DOUBLE / (SELECT count(*) FROM docs)" if batch else ""
+    margins = f"""SELECT f.doc_id, any_value(f.y) AS y, sum(f.value * it.w[f.pos + 1]) AS m FROM feats f, it
+      WHERE NOT it.done AND it.i < {passes} {member} GROUP BY f.doc_id"""
+    return f"""WITH RECURSIVE {prelude},
+ it AS (SELECT 0::BIGINT AS i, (SELECT list(0.1::DOUBLE) FROM terms) AS w, {rate}::DOUBLE AS rate, 0.0::DOUBLE AS old, false AS done
+  UNION ALL
+  SELECT i + 1, list_transform(list_zip(w, gs), lambda z: z[1] - rate * {whole_gradient}),
+   CASE WHEN {whole_loss} < old THEN rate * 1.05::DOUBLE ELSE rate * 0.5::DOUBLE END, {whole_loss},
+   abs({whole_loss} - old) <= {tolerance}
+  FROM (SELECT it.*, sqrt(list_sum(list_transform(it.w, lambda x: x * x))) AS norm, l.raw, g.gs
+   FROM it, (SELECT sum({loss}) AS raw FROM ({margins}) m, pr) l,
+    (SELECT list(coalesce(k.g, 0) ORDER BY t.pos) AS gs FROM terms t LEFT JOIN
+      (SELECT f.pos, sum(({slope}) * f.value) AS g FROM feats f JOIN ({margins}) m ON f.doc_id = m.doc_id, pr GROUP BY f.pos) k
+      ON t.pos = k.pos) g
+   WHERE NOT it.done AND it.i < {passes}))"""
+
+
+_WHOLE_OUT = """ SELECT (generate_subscripts(w, 1) - 1)::INT AS pos, round(unnest(w), 6) AS w FROM it
+ WHERE i = (SELECT max(i) FROM it)"""
+
+
 def _out(passes: int) -> str:
     return f" SELECT pos, round(w, 9) AS w FROM w{passes}"
 
@@ -266,6 +311,37 @@ def weighted_svm_fit(spark, folder):
     return _rounded_weights(_fit(spark, folder, "weighted", rule, descent.no_penalty, use_idf=False), spark, 9)
 
 
+# -- the same fits at their published length, with the stop test ------------------------------
+
+def _whole(variant: str):
+    return {
+        "logistic": ("logistic", descent.Descent(0.01, 0.01, 300), descent.scalar_norm_penalty(1e-4), True, None),
+        "weighted": ("weighted", descent.Descent(0.1, 0.1, 500), descent.no_penalty, False, None),
+        "logistic_batches": ("logistic", descent.Descent(0.001, 0.1, 300), descent.scalar_norm_penalty(1e-3), True, 100),
+        "svm_batches": ("hinge", descent.Descent(0.01, 1e-4, 200), descent.batch_norm_penalty(0.1, 100), True, 100),
+    }[variant]
+
+
+@query(_whole_sql("logistic", 300, 0.01, 0.01, "scalar:1e-4") + _WHOLE_OUT)
+def logreg_whole_fit(spark, folder):
+    return _rounded_weights(_fit(spark, folder, *_whole("logistic")), spark)
+
+
+@query(_whole_sql("weighted", 500, 0.1, 0.1, "none", idf=False) + _WHOLE_OUT)
+def weighted_svm_whole_fit(spark, folder):
+    return _rounded_weights(_fit(spark, folder, *_whole("weighted")), spark)
+
+
+@query(_whole_sql("logistic", 300, 0.001, 0.1, "scalar:1e-3", batch=100) + _WHOLE_OUT)
+def logreg_minibatch_whole_fit(spark, folder):
+    return _rounded_weights(_fit(spark, folder, *_whole("logistic_batches")), spark)
+
+
+@query(_whole_sql("hinge", 200, 0.01, 1e-4, "batch:0.1", batch=100) + _WHOLE_OUT)
+def svm_whole_fit(spark, folder):
+    return _rounded_weights(_fit(spark, folder, *_whole("svm_batches")), spark)
+
+
 @query(_margin_sql("logistic", 1, 1.0, "none") + """ SELECT term, pos, round(w, 9) AS w FROM w1 JOIN terms USING (pos)
  ORDER BY round(w, 9) DESC, pos LIMIT 25""")
 def top_coefficients(spark, folder):
