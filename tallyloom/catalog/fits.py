@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.registry import query, sql_uniform, sql_words, table
-from tallyloom.catalog.words import IDF_SQL, SIZE, TERMS_SQL, labelled_documents
+from tallyloom.catalog.words import _CLASS_SQL, _STOP, IDF_SQL, SIZE, TERMS_SQL, labelled_documents, stem_sql
 from tallyloom.functions.losses import hinge, logistic, weighted_hinge
 from tallyloom.functions.text import letter_words
 from tallyloom.operators import features as ft, measures
@@ -172,9 +172,14 @@ def _margin_sql(model: str, passes: int, rate: float, penalty: str, idf: bool =
 
 def _whole_sql(model: str, passes: int, rate: float, tolerance: float, penalty: str, idf: bool = True, batch: int | None = None,
                seed: int = 13) -> str:
-    """The whole descent with its stop test as a recursive query; the weights are one list per pass."""
     start = _margin_sql(model, 0, rate, penalty, idf, batch, seed)
     prelude = start[len("WITH "):].rsplit(", w0 AS MATERIALIZED", 1)[0].rstrip().rstrip(",")
+    return _descent_sql(prelude, model, passes, rate, tolerance, penalty, batch, seed)
+
+
+def _descent_sql(prelude: str, model: str, passes: int, rate: float, tolerance: float, penalty: str, batch: int | None = None,
+                 seed: int = 13, total: str = "SELECT count(*) FROM docs") -> str:
+    """The whole descent with its stop test as a recursive query over ``feats``; the weights are one list per pass."""
     loss = {
         "logistic": "-y * m + greatest(m, 0) + ln(1 + exp(-abs(m)))",
         "hinge": "greatest(0, 1 - y * m)",
@@ -194,7 +199,7 @@ def _whole_sql(model: str, passes: int, rate: float, tolerance: float, penalty:
         "batch": (f"{r} * 0.5 * norm + raw / {b}", f"({r} * z[1] + z[2] / {b})"),
     }[kind]
     chance = sql_uniform("f.doc_id || ':' || it.i", seed)
-    member = f"AND {chance} < {batch}.0::DOUBLE / (SELECT count(*) FROM docs)" if batch else ""
+    member = f"AND {chance} < {batch}.0::DOUBLE / ({total})" if batch else ""
     margins = f"""SELECT f.doc_id, any_value(f.y) AS y, sum(f.value * it.w[f.pos + 1]) AS m FROM feats f, it
       WHERE NOT it.done AND it.i < {passes} {member} GROUP BY f.doc_id"""
     return f"""WITH RECURSIVE {prelude},
@@ -380,17 +385,63 @@ def random_forest(spark, folder):
     return mlfit.predict(model, _vectors(spark, folder), ["vec_id", "label"])
 
 
+def _flow_sql(name: str, passes: int, penalty: str) -> str:
+    """Split, dictionary, fit, scores and counts of every task of a flow."""
+    preset = documents.PRESETS[name]
+    model = {"weighted_hinge": "weighted"}.get(preset.model, preset.model)
+    train = sql_uniform("doc_id", 13) + " < 0.8::DOUBLE"
+    if preset.stem:
+        words = f"""raw AS MATERIALIZED (SELECT doc_id, unnest({sql_words()}) AS term FROM documents JOIN labels USING (doc_id)), {stem_sql("raw")},
+ kept AS MATERIALIZED (SELECT doc_id, list(stem) AS words FROM raw JOIN stems USING (term) WHERE stem NOT IN ({_STOP}) GROUP BY doc_id),
+ every AS MATERIALIZED (SELECT doc_id, {_CLASS_SQL} AS label, coalesce(words, []) AS words, {train} AS train
+  FROM documents JOIN labels USING (doc_id) LEFT JOIN kept USING (doc_id))"""
+    else:
+        words = f"""every AS MATERIALIZED (SELECT doc_id, {_CLASS_SQL} AS label, {sql_words()} AS words, {train} AS train
+  FROM documents JOIN labels USING (doc_id))"""
+    hit = {
+        "one_vs_rest": ("label = {t} AND pred = {t}", "label <> {t} AND pred <> {t}", "label <> {t} AND pred = {t}", "label = {t} AND pred <> {t}"),
+        "exclude_other": ("label = {t} AND pred = {t}", "label = 0 AND pred = 0", "label = 0 AND pred <> 0", "label = {t} AND pred <> {t}"),
+        "label_equality": ("label = {t} AND pred = {t}", "label <> {t} AND pred = label", "label <> {t} AND pred <> label", "label = {t} AND pred <> {t}"),
+    }[preset.policy]
+    parts = []
+    for task, target, without in preset.tasks:
+        own = f"WHERE label <> {without}" if without is not None else ""
+        value, joined = ("value * idf", "JOIN idf USING (pos)") if preset.use_idf else ("value", "")
+        total = "SELECT count(*) FROM docs" if without is None else "SELECT count(DISTINCT doc_id) FROM feats"
+        negative = "0.0" if model == "logistic" else "-1.0"
+        prelude = f"""{words}, docs AS MATERIALIZED (SELECT doc_id, label, words FROM every WHERE train), {TERMS_SQL}, {IDF_SQL},
+ feats AS MATERIALIZED (SELECT tf.doc_id, tf.pos, {value} AS value,
+  CASE WHEN label = {target} THEN 1.0::DOUBLE ELSE {negative}::DOUBLE END AS y FROM tf {joined} JOIN docs USING (doc_id) {own}),
+ pr AS MATERIALIZED (SELECT count(DISTINCT doc_id) FILTER (y > 0) / (SELECT count(*) FROM docs {own})::DOUBLE AS pr FROM feats)"""
+        factor = "value * ln((SELECT count(DISTINCT doc_id) FROM held)::DOUBLE / (1 + hdf))" if preset.use_idf else "value"
+        counts = [f"count(*) FILTER ({h.format(t=target)}) AS {c}" for h, c in zip(hit, ("tp", "tn", "fp", "fn"))]
+        descent_sql = _descent_sql(prelude, model, passes, preset.rate, preset.tolerance, penalty, preset.batch, 13, total)
+        parts.append(f"""(SELECT '{task}' AS task, * FROM ({descent_sql},
+ held AS MATERIALIZED (SELECT DISTINCT doc_id, label, pos, 1.0::DOUBLE / doc_len AS value FROM
+  (SELECT doc_id, label, len(words) AS doc_len, unnest(words) AS term FROM every WHERE NOT train) JOIN terms USING (term)),
+ f AS (SELECT pos, count(*) AS hdf FROM held GROUP BY pos),
+ fitted AS (SELECT generate_subscripts(w, 1) - 1 AS pos, unnest(w) AS w FROM it WHERE i = (SELECT max(i) FROM it)),
+ said AS (SELECT doc_id, label, CASE WHEN sum({factor} * w) > 0 THEN {target} ELSE 0 END AS pred
+  FROM held JOIN f USING (pos) JOIN fitted USING (pos) GROUP BY doc_id, label)
+ SELECT (SELECT max(i) FROM it)::INT AS losses, {", ".join(counts)} FROM said))""")
+    return f"""WITH c AS ({" UNION ALL ".join(parts)}),
+ r AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp)::DOUBLE END AS p, CASE WHEN tp + fn > 0 THEN tp / (tp + fn)::DOUBLE END AS r FROM c)
+ SELECT task, losses, tp, tn, fp, fn, round(p, 4) AS precision, round(r, 4) AS recall,
+  round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) END, 4) AS f_score,
+  round((tp + tn) / (tp + tn + fp + fn)::DOUBLE, 4) AS accuracy FROM r"""
+
+
 def _flow(preset: str, passes: int | None):
     def run(spark, folder):
         docs = labelled_documents(spark, folder).select("doc_id", "label", letter_words("text").alias("words"))
         train, test = weighted_split(docs, "doc_id", [0.8, 0.2])
-        return documents.run_documents(train, test, preset, passes=passes)
+        return documents.run_documents(train, test, preset, passes=passes, fast=False)
 
     return run
 
 
+_PENALTIES = {"logistic_full": "scalar:1e-4", "logistic_full_unstemmed": "scalar:1e-4", "logistic_batches": "scalar:1e-3",
+              "svm_batches": "batch:0.1", "weighted_svm": "none"}
 for _name, _passes in [("logistic_full", 5), ("logistic_full_unstemmed", 5), ("logistic_batches", 5), ("svm_batches", 5),
-                       ("weighted_svm", 5), ("multinomial", 20), ("forest", None)]:
-    query(name=f"flow_{_name}")(_flow(_name, _passes))
-
-
+                       ("weighted_svm", 500), ("multinomial", 20), ("forest", None)]:
+    query(_flow_sql(_name, _passes, _PENALTIES[_name]) if _name in _PENALTIES else None, name=f"flow_{_name}")(_flow(_name, _passes))
