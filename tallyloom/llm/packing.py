@@ -72,7 +72,8 @@ def packed(pieces: DataFrame, capacity: int = 4096, max_pieces: int | None = Non
     held = settled(pieces)
     groups = max(1, -(-held.count() // group_rows))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema) + ", sequence_id bigint, offset bigint"
-    dealt = held.withColumn("_g", F.pmod(F.xxhash64(*held.columns), F.lit(groups)))
+    # numbered after the checkpoint, so numbers are the same whenever a task runs again, and equal rows spread
+    dealt = held.withColumn("_g", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
 
     def pack(key: tuple, rows: pa.Table) -> pa.Table:
         bins, offsets = best_fit(rows.column("length").to_numpy(), capacity, max_pieces, max_cost, weights, rule)
