@@ -25,7 +25,7 @@ from tallyloom.llm.arrow import map_arrow
 from tallyloom.session import settled
 
 #: Bounds of the fit: labelled rows of each domain, and words that become features (met in at least MIN_ROWS of them).
-SAMPLE_ROWS, FEATURES, MIN_ROWS = 3000, 2048, 5
+SAMPLE_ROWS, FEATURES, MIN_ROWS = 2000, 1024, 5
 CLEAR = 20.0  # least likelihood-ratio statistic of a feature word
 _REPLAY = 16  # steps between checkpoints of the rates
 _CLEAN = bytes(c if chr(c).isalpha() or c >= 128 else 32 for c in range(256))
@@ -66,24 +66,21 @@ class DomainModel:
         base = len(self.place)
         return at + list(range(base, base + _SHAPES)), [1.0] * len(at) + _shape(text, words), len(text.split())
 
-    def fit(self, texts: list[bytes], labels: np.ndarray, shares: np.ndarray, passes: int = 300, rate: float = 0.05, penalty: float = 1e-4) -> None:
-        rows, cols, values = [], [], []
-        for i, text in enumerate(texts):
-            at, value, _ = self.features(text)
-            rows += [i] * len(at)
-            cols += at
-            values += value
-        x = np.zeros((len(texts), len(self.weights)), np.float32)
-        x[rows, cols] = values
-        y = np.eye(len(self.names))[labels]
+    def fit(self, found: list[tuple[list[int], list[float]]], labels: np.ndarray, shares: np.ndarray, passes: int = 200,
+            rate: float = 0.05, penalty: float = 1e-4) -> None:
+        """Full-batch descent on the features of the sampled rows: at most rows times features numbers in memory."""
+        x = np.zeros((len(found), len(self.weights)), np.float32)
+        for row, (at, values) in zip(x, found):
+            row[at] = values
+        y = np.eye(len(self.names), dtype=np.float32)[labels]
         # a domain weighs what it does among all labelled rows, however many of its rows are here
         weight = (shares / np.maximum(1, y.sum(0)))[labels]
-        weight /= weight.sum()
+        weight = (weight / weight.sum()).astype(np.float32)
         first = [np.zeros_like(self.weights), np.zeros_like(self.bias)]
         second = [np.zeros_like(self.weights), np.zeros_like(self.bias)]
         for step in range(1, passes + 1):
-            delta = (self._softmax(x @ self.weights + self.bias) - y) * weight[:, None]
-            grads = [x.T @ delta + penalty * self.weights, delta.sum(0)]
+            delta = (self._softmax(x @ self.weights.astype(np.float32) + self.bias.astype(np.float32)) - y) * weight[:, None]
+            grads = [(delta.T @ x).T + penalty * self.weights, delta.sum(0)]
             for g, m, v, w in zip(grads, first, second, (self.weights, self.bias)):
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
@@ -151,10 +148,20 @@ def fitted(docs: DataFrame, domains: DataFrame, rows: int = SAMPLE_ROWS) -> Doma
                 + term(F.lit(per_domain[d]) - F.col(f"n{i}"), F.lit(whole) - F.col("n"), per_domain[d]) for i, d in enumerate(names)), F.lit(0.0))
     best = counts.where((F.col("n") >= MIN_ROWS) & (gain * (2 * whole) >= CLEAR)).orderBy(F.desc(F.round(gain, 12)), "word").limit(FEATURES).collect()
     model = DomainModel(names, [bytes(r["word"]) for r in best])
-    lessons = found.collect()  # at most ``rows`` documents of each domain
-    lessons.sort(key=lambda r: (r["domain"], r["doc_id"], bytes(r["text"])))
+
+    def lessons_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [model.features(t.as_py())[:2] for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([
+                *batch.columns[:2], pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float64()))],
+                ["domain", "doc_id", "at", "value"])
+
+    kind = dict(found.dtypes)["doc_id"]
+    lessons = map_arrow(found.select("domain", "doc_id", "text"), lessons_of, f"domain string, doc_id {kind}, at array<int>, value array<double>")
     if len(names) > 1:
-        model.fit([bytes(r["text"]) for r in lessons], np.array([names.index(r["domain"]) for r in lessons]),
+        table = lessons.toArrow()
+        held = sorted(zip(*(table.column(c).to_pylist() for c in ("domain", "doc_id", "at", "value"))))
+        model.fit([(at, value) for _, _, at, value in held], np.array([names.index(d) for d, *_ in held]),
                   np.array([labelled_rows[n] for n in names], float))
     return model
 
