@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.registry import query, sql_uniform, sql_words, table
+from tallyloom.catalog.tables import TRIPS_SQL, trip_lines
 from tallyloom.catalog.words import _CLASS_SQL, _STOP, IDF_SQL, SIZE, TERMS_SQL, labelled_documents, stem_sql
 from tallyloom.functions.losses import hinge, logistic, weighted_hinge
 from tallyloom.functions.text import letter_words
 from tallyloom.operators import features as ft, measures
 from tallyloom.operators.sampling import weighted_split
-from tallyloom.plans import descent, documents, mlfit
+from tallyloom.plans import descent, documents, mlfit, trips
 from tallyloom.session import settled
 from tallyloom.sources.lines import spread
 from tallyloom.sources.sinks import reused
@@ -108,6 +109,40 @@ def linreg_minibatch_fit(spark, folder):
     return _rounded_weights(fit, spark)
 
 
+# -- the trip regression from lines to mean squared error ---------------------------------------
+
+def _trip_fit_sql(passes: int, rate: str, tolerance: float) -> str:
+    """Valid trips, nine tenths for the sums of products, the descent over them, the error on the rest."""
+    width = len(trips.INPUTS)
+    xx = [[f"x_{min(i, j)}_{max(i, j)}" for j in range(width)] for i in range(width)]
+    sums = ", ".join(["count(*)::DOUBLE AS n", "sum(y * y) AS yy"] + [f"sum(x{i} * y) AS y_{i}" for i in range(width)]
+                     + [f"sum(x{i} * x{j}) AS x_{i}_{j}" for i in range(width) for j in range(i, width)])
+    row = ["(" + " + ".join(f"{xx[i][j]} * w{j}" for j in range(width)) + ")" for i in range(width)]
+    loss = ("(yy - 2 * (" + " + ".join(f"w{i} * y_{i}" for i in range(width)) + ") + "
+            + " + ".join(f"w{i} * {row[i]}" for i in range(width)) + ") / n")
+    grads = ", ".join(f"({row[i]} - y_{i}) / n AS g{i}" for i in range(width))
+    pred = " + ".join(f"x{i} * w{i}" for i in range(width))
+    return f"""WITH RECURSIVE {TRIPS_SQL.removeprefix('WITH ')},
+ x AS MATERIALIZED (SELECT {sql_uniform("l_orderkey || ':' || l_linenumber")} < 0.9::DOUBLE AS train, 1.0::DOUBLE AS x0,
+  seconds / 60.0::DOUBLE AS x1, miles AS x2, fare AS x3, extra AS x4, fare AS y FROM valid),
+ g AS MATERIALIZED (SELECT {sums} FROM x WHERE train),
+ it AS (SELECT 0::BIGINT AS i, {", ".join(f"0.1::DOUBLE AS w{i}" for i in range(width))}, {rate}::DOUBLE AS rate, 0.0::DOUBLE AS old, false AS done
+  UNION ALL SELECT i + 1, {", ".join(f"w{i} - rate * g{i}" for i in range(width))},
+   CASE WHEN l < old THEN rate * 1.05::DOUBLE ELSE rate * 0.5::DOUBLE END, l, abs(l - old) <= {tolerance}
+  FROM (SELECT it.*, {loss} AS l, {grads} FROM it, g WHERE NOT it.done AND it.i < {passes})),
+ w AS (SELECT * FROM it WHERE i = (SELECT max(i) FROM it))
+ SELECT i AS passes, count(*) AS n, round(sum(y), 4) AS sum_y, round(avg(pow(y - ({pred}), 2)), 6) AS mse FROM x, w WHERE NOT train GROUP BY i"""
+
+
+@query(_trip_fit_sql(300, "1e-4", 0.1))
+def trip_regression(spark, folder):
+    lines = trip_lines(spark, folder).select(
+        F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("key"), "value")
+    fit, measured = trips.run_trips(lines)
+    passes = fit.stopped_at or len(fit.losses)
+    return measured.select(F.lit(passes).cast("bigint").alias("passes"), "n", F.round("sum_y", 4).alias("sum_y"), F.round("mse", 6).alias("mse"))
+
+
 # -- margins over term weights ---------------------------------------------------------------
 
 def _docs(spark, folder):

@@ -86,7 +86,7 @@ def trip_lines(spark, folder):
     return li.select("l_orderkey", "l_linenumber", F.concat_ws(",", *fields).alias("value"))
 
 
-_TRIPS_SQL = """WITH t AS (SELECT l_orderkey, l_linenumber,
+TRIPS_SQL = """WITH t AS (SELECT l_orderkey, l_linenumber,
  CASE WHEN l_suppkey % 17 = 0 THEN NULL ELSE floor(l_quantity * 100) END AS seconds,
  CASE WHEN l_suppkey % 13 = 0 THEN NULL ELSE (l_linenumber * 8)::DOUBLE END AS miles,
  floor(l_extendedprice / 400) AS fare,
@@ -96,14 +96,14 @@ _TRIPS_SQL = """WITH t AS (SELECT l_orderkey, l_linenumber,
    AND extra IS NOT NULL AND paid >= 3 AND l_suppkey % 19 <> 0)"""
 
 
-@query(_TRIPS_SQL + " SELECT l_orderkey, l_linenumber, count(*) AS n FROM valid GROUP BY 1, 2")
+@query(TRIPS_SQL + " SELECT l_orderkey, l_linenumber, count(*) AS n FROM valid GROUP BY 1, 2")
 def valid_rows(spark, folder):
     fields = validity.split_fields(trip_lines(spark, folder), carry=["l_orderkey", "l_linenumber"])
     kept = validity.valid_trips(fields)
     return kept.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"))
 
 
-@query(_TRIPS_SQL + """ SELECT l_orderkey, l_linenumber, 1.0::DOUBLE AS x0, round(seconds / 60.0::DOUBLE, 9) AS x1,
+@query(TRIPS_SQL + """ SELECT l_orderkey, l_linenumber, 1.0::DOUBLE AS x0, round(seconds / 60.0::DOUBLE, 9) AS x1,
  miles AS x2, fare AS x3, extra AS x4, fare AS y FROM valid""")
 def regression_features(spark, folder):
     keys = ["l_orderkey", "l_linenumber"]

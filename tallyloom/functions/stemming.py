@@ -126,6 +126,9 @@ def _final(df: DataFrame) -> DataFrame:
 def with_stem(df: DataFrame, term: str, out: str = "stem") -> DataFrame:
     """Add the stem of a lower-case word column.  Narrow: no shuffle, no Python worker.
 
+    For words of letters only, as ``letter_words`` makes them: endings with an
+    apostrophe are not taken off.
+
     The result is computed ``once``: the optimizer would otherwise substitute the
     whole chain of steps into a later filter on the stem, and each step mentions
     the one before it several times.

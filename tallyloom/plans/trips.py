@@ -15,8 +15,12 @@ INPUTS = ["x0", "x1", "x2", "x3", "x4"]
 
 
 def trip_table(lines: DataFrame) -> DataFrame:
-    """Valid trips of comma-separated lines as features, keyed by the line and its number among equal lines."""
-    fields = split_fields(numbered_copies(lines.select("value")), carry=["key"])
+    """Valid trips of comma-separated lines as features.
+
+    Rows are keyed by a column ``key`` or, without one, by the line and its number among equal lines.
+    """
+    keyed = lines if "key" in lines.columns else numbered_copies(lines.select("value"))
+    fields = split_fields(keyed, carry=["key"])
     return trip_features(valid_trips(fields), carry=["key"])
 
 

@@ -106,3 +106,29 @@ def test_vectors(spark):
     assert one(spark, vf.logit_cross_entropy(F.lit(1000.0), F.lit(0.0))) == pytest.approx(1000.0)
     assert one(spark, vf.argmax(F.array().cast("array<double>"))) is None
     assert isinstance(one(spark, F.struct(F.lit(1).alias("a"))), Row)
+
+
+# Published sample words of the stemmer and their stems (fixed values).
+PUBLISHED_STEMS = """
+consign consign, consigned consign, consigning consign, consignment consign, consist consist, consisted consist,
+consistency consist, consistent consist, consistently consist, consisting consist, consists consist, consolation consol,
+consolations consol, consolatory consolatori, console consol, consoled consol, consoles consol, consolidate consolid,
+consolidated consolid, consolidating consolid, consoling consol, consolingly consol, consols consol, consonant conson,
+consort consort, consorted consort, consorting consort, conspicuous conspicu, conspicuously conspicu,
+conspiracy conspiraci, conspirator conspir, conspirators conspir, conspire conspir, conspired conspir, conspiring conspir,
+constable constabl, constables constabl, constance constanc, constancy constanc, constant constant,
+knack knack, knackeries knackeri, knacks knack, knag knag, knave knave, knaves knave, knavish knavish, kneaded knead,
+kneading knead, knee knee, kneel kneel, kneeled kneel, kneeling kneel, kneels kneel, knees knee, knell knell, knelt knelt,
+knew knew, knick knick, knif knif, knife knife, knight knight, knightly knight, knights knight, knit knit, knits knit,
+knitted knit, knitting knit, knives knive, knob knob, knobs knob, knock knock, knocked knock, knocker knocker,
+knockers knocker, knocking knock, knocks knock, knot knot, knots knot,
+skis ski, skies sky, dying die, lying lie, tying tie, idly idl, gently gentl, ugly ugli, early earli, only onli, singly singl,
+sky sky, news news, howe howe, atlas atlas, cosmos cosmos, bias bias, andes andes,
+inning inning, outing outing, canning canning, herring herring, earring earring, proceed proceed, exceed exceed, succeed succeed
+"""
+
+
+def test_published_stems(spark):
+    pairs = [tuple(p.split()) for p in PUBLISHED_STEMS.replace("\n", " ").split(",")]
+    found = with_stem(spark.createDataFrame(pairs, "term string, want string"), "term").collect()
+    assert [(r["term"], r["stem"], r["want"]) for r in found if r["stem"] != r["want"]] == []
