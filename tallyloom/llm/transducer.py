@@ -32,7 +32,7 @@ import numpy as np
 MAX_STATES = 1 << 18
 _SLOTS = 1 << 21  # hash places for transitions, at most half of them used
 _CHUNK = 256  # characters
-PIECE = 1 << 21  # characters handled at once
+PIECE = 1 << 19  # characters handled at once
 
 # character classes
 LETTER, ONE, RV, L, E, NUMBER, OTHER, APOSTROPHE, SPACE, WHITE, STOP = range(11)
