@@ -112,8 +112,12 @@ def domain_of(labels: DataFrame) -> DataFrame:
 
 def fitted(docs: DataFrame, domains: DataFrame, rows: int = SAMPLE_ROWS) -> DomainModel | None:
     """Model of ``doc_id, domain``, learned on the ``rows`` documents of each domain with the lowest hash; None without any."""
-    labelled_rows = {r["domain"]: r["n"] for r in domains.groupBy("domain").agg(F.count("*").alias("n")).collect()}
-    sampled = domains.withColumn("_r", F.row_number().over(Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")))
+    sizes = settled(domains.groupBy("domain").agg(F.count("*").alias("n")))  # one row per domain
+    labelled_rows = {r["domain"]: r["n"] for r in sizes.collect()}
+    # about three times the bound pass before anything is ranked
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id"), 32)
+    near = domains.join(F.broadcast(sizes), "domain").where(draw <= F.lit(float(6 * rows + 60) * 2**32) / F.col("n"))
+    sampled = near.withColumn("_r", F.row_number().over(Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")))
     labelled = sampled.where(F.col("_r") <= 2 * rows).select("doc_id", "domain")  # some ids have no document
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", F.col("text").cast("binary").alias("text"))
     # at most 2 * rows ids of each domain
