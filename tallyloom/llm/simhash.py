@@ -167,7 +167,12 @@ def near_classes(docs: DataFrame, distance: int = 4, key: str = "doc_id", text:
     Other columns are not read.  An empty table gives an empty table.
     """
     prints = settled(fingerprints(docs, key, text))
-    roots = connected(near_links(prints, distance))
+    return classes_of(prints, near_links(prints, distance))
+
+
+def classes_of(prints: DataFrame, links: DataFrame) -> DataFrame:
+    """``doc_id, fp, component_id`` of all rows ``doc_id, fp`` by the links ``a, b`` of fingerprints."""
+    roots = connected(links)
     per_print = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     rooted = settled(
         per_print.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
@@ -183,7 +188,12 @@ def near_deduplicated(docs: DataFrame, distance: int = 4) -> DataFrame:
     Of rows that repeat an id one stays.  Rows without an id cannot be named as
     members of a class and stay.
     """
-    classes = settled(near_classes(docs, distance))
+    return one_of_each(docs, near_classes(docs, distance))
+
+
+def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their class, as in ``near_deduplicated``."""
+    classes = settled(classes)
     left = docs.join(classes.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti")
     repeated = settled(classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if not repeated.isEmpty():
