@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import langid, mixture, packing, repeats, shingles
+from tallyloom.llm import langid, mixture, packing, repeats, simhash
 from tallyloom.session import use_checkpoint_dir
 
 #: A document stays if its language is known and this sure.
@@ -28,12 +28,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every near-duplicate class.
-
-    Here texts are alike if they share four fifths of their five-word shingles; the
-    four bits of operator 1's contract reach only almost identical texts.
-    """
-    return shingles.near_deduplicated(docs.select(*COLUMNS))
+    """The document with the smallest id of every class of near fingerprints (operator 1: four-word shingles, four bits)."""
+    return simhash.near_deduplicated(docs.select(*COLUMNS))
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
