@@ -160,7 +160,7 @@ def near_links(prints: DataFrame, distance: int = 4) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, distance: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, fp, component_id`` (smallest doc_id reachable over links).
+    """One row per input row: ``doc_id, fp, root, component_id`` (smallest doc_id reachable over links).
 
     Rows with a null id take part; the id of a class is null only if all its ids
     are.  Repeated rows, ties and empty texts share a fingerprint and so a class.
@@ -171,7 +171,7 @@ def near_classes(docs: DataFrame, distance: int = 4, key: str = "doc_id", text:
 
 
 def classes_of(prints: DataFrame, links: DataFrame) -> DataFrame:
-    """``doc_id, fp, component_id`` of all rows ``doc_id, fp`` by the links ``a, b`` of fingerprints."""
+    """``doc_id, fp, root, component_id`` of all rows ``doc_id, fp`` by the links ``a, b`` of fingerprints; ``root`` names the class."""
     roots = connected(links)
     per_print = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     rooted = settled(
@@ -179,24 +179,38 @@ def classes_of(prints: DataFrame, links: DataFrame) -> DataFrame:
         .select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     )
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    return prints.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def near_deduplicated(docs: DataFrame, distance: int = 4) -> DataFrame:
-    """The document with the smallest id of every class.
+    """The row with the smallest id of every class.
 
-    Of rows that repeat an id one stays.  Rows without an id cannot be named as
-    members of a class and stay.
+    Rows are judged one by one, also where they share an id: of several rows with a
+    class's smallest id the least by text and then by the other columns stays.  Rows
+    without an id cannot be named as members of a class and stay.
     """
-    return one_of_each(docs, near_classes(docs, distance))
+    classes = settled(near_classes(docs, distance))
+    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
+    repeated = settled(classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    left = docs.join(gone.unionByName(repeated), "doc_id", "left_anti")
+    rows = docs.join(repeated, "doc_id", "left_semi").select(F.struct("text", *[c for c in docs.columns if c != "text"]).alias("_row"))
+    printed = map_arrow(
+        rows.select("_row", F.col("_row.text").cast("binary").alias("_text")), _print_rows,
+        f"_row {rows.schema['_row'].dataType.simpleString()}, _fp bigint")
+    firsts = classes.where("doc_id = component_id").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")).distinct()
+    classed = printed.join(firsts, (F.col("_row.doc_id") == F.col("_id")) & (printed["_fp"] == firsts["_fp"]))
+    roots = classes.select("doc_id", "fp", "root").distinct()
+    once = (
+        classed.select("_row", "_id", printed["_fp"])
+        .join(roots, (F.col("_id") == roots["doc_id"]) & (F.col("_fp") == roots["fp"]))
+        .groupBy("root").agg(F.min("_row").alias("_row")).select("_row.*")
+    )
+    return left.select(*docs.columns).unionByName(once.select(*docs.columns))
 
 
-def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their class, as in ``near_deduplicated``."""
-    classes = settled(classes)
-    left = docs.join(classes.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti")
-    repeated = settled(classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    if not repeated.isEmpty():
-        once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        left = left.join(repeated, "doc_id", "left_anti").unionByName(once)
-    return left.select(*docs.columns)
+def _print_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        prints = np.fromiter((simhash(t.as_py() or b"") for t in batch.column(1)), np.uint64, batch.num_rows)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["_row", "_fp"])

@@ -93,3 +93,12 @@ def test_components_of_chain_star_and_loop(spark):
     found = {r["node"]: r["root"] for r in connected(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert found == {i: 0 for i in range(51)} | {i: 100 for i in range(100, 140)} | {200: 200, 201: 200}
     assert connected(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_rows_that_share_an_id_are_judged_alone(spark):
+    """Id 5 names a copy of document 1 and a text of its own, id 6 two texts of one class."""
+    own, twin = "an entirely different text about ships", "words that nobody else has ever written down here"
+    rows = [(1, "the same words again and again"), (5, "the same words again and again"), (5, own), (6, twin), (6, twin + "\n"), (7, own)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted(tuple(r) for r in simhash.near_deduplicated(docs).collect())
+    assert kept == [(1, rows[0][1]), (5, own), (6, twin)]
