@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyloom.operators.lookup import small
-from tallyloom.session import settled
+from tallyloom.session import settled, use_checkpoint_dir
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a compressed table in the shared folder, for texts and for columns that are read apart."""
+    spark = df.sparkSession
+    path = f"{use_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def met(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:

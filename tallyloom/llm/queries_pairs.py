@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import preference, simhash, topk, winnow
+from tallyloom.llm import forest, preference, simhash, topk, winnow
 from tallyloom.llm.registry import query, table
 
 
@@ -73,3 +73,11 @@ def op9_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         winnow.digest(F.col("prints")).alias("fingerprint"), winnow.digest(F.col("edited_prints")).alias("edited_fingerprint"),
         winnow.likeness(own, other).alias("near_edited"), winnow.likeness(own, after).alias("near_next"))
+
+
+@query()
+def op12_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of ``documents`` that share four fifths of their two-word shingles; the smallest id of each is kept."""
+    classes = forest.near_classes(table(spark, folder, "documents"), limit=0.8, shingle=2)
+    return classes.select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
