@@ -10,12 +10,12 @@ How deep a region is searched depends on it, and goes on until nothing is left:
 
 1. in the first trees, then in all of them, every set meets its neighbour of the
    longest common prefix, so that a crowded region of copies soon is one component,
-2. last, whatever shares ``BASE`` values and still lies in different components meets;
-   the sets of the component that fills a region are not met with each other.
+2. last, whatever shares ``BASE`` values and still lies in different components meets:
+   the component that fills a region is a family, the region's other sets visit all of it.
 
 Candidates whose sizes cannot reach the similarity, or whose sketches (a bit of
 ``SKETCH`` values each) differ in more bits than sets of that similarity ever do, are
-left out inside the join.  The rest is confirmed on the whole sets.
+left out.  The rest is confirmed on the whole sets.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ TREES, BASE, DEPTH, FIRST = 40, 5, 7, 3
 SKETCH = 128
 #: Sets of similarity 0.8 agree in a sketch bit with probability 0.9; 34 or more of 128 bits differ once in 4e7.
 MOST_BITS = 33
+#: Shingles of the sets that a probe is compared with at once.
+LOT = 400_000
 _SLICE = 2048  # shingles hashed by all functions at once
 _WORDS = 1 << 18  # words whose hashes a worker keeps
 
@@ -148,6 +150,49 @@ def _confirmed(limit: float, shingle: int):
     return run
 
 
+def _visits(limit: float, shingle: int):
+    """Lots, each as its sets and then the probes that visit it, to links: none twice between what is linked here."""
+    share = round(limit * 100)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: dict[bytes, int] = {}
+        lot, prints, sets, index = None, [], [], None
+        for batch in batches:
+            a, b = [], []
+            for family, number, visits, fp, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (family, number) != lot:
+                    lot, prints, sets, index, roots = (family, number), [], [], None, {}
+                mine = shingle_set(text, words, shingle)
+                if not visits:
+                    prints.append(fp)
+                    sets.append(mine)
+                    continue
+                if index is None:  # whose shingles are which, in the order of the shingles
+                    sizes = np.array([len(x) for x in sets])
+                    values = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+                    order = np.argsort(values, kind="stable")
+                    index = values[order], np.repeat(np.arange(len(sets)), sizes)[order], sizes
+                values, owner, sizes = index
+                start, stop = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
+                count = stop - start
+                at = np.repeat(start - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+                both = np.bincount(owner[at], minlength=len(sizes))
+                for j in np.flatnonzero(100 * both >= share * (len(mine) + sizes - both)):
+                    one, two = _root(roots, fp), _root(roots, prints[j])
+                    if one != two:
+                        roots[one] = two
+                        a.append(fp)
+                        b.append(prints[j])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return run
+
+
+def _root(roots: dict[int, int], node: int) -> int:
+    while roots.get(node, node) != node:
+        roots[node] = node = roots.get(roots[node], roots[node])
+    return node
+
+
 class _Forest:
     """Distinct sets, their places in the trees, and the links confirmed so far."""
 
@@ -196,22 +241,48 @@ class _Forest:
         rows = self.placed().where(f"tree < {trees}").select(*order, "comp")
         return map_arrow(rows.repartitionByRange(*order).sortWithinPartitions(*order), _neighbour_batches, "a bigint, b bigint")
 
-    def rest(self) -> DataFrame:
-        """All pairs that share a region, lie in different components and may be alike.
+    def families(self) -> DataFrame:
+        """``family, fp, probe`` for whatever shares a region, lies in different components and may be alike.
 
-        The component with most places in a region stands on one side of the join only.
+        The family of a region is the component with most places in it.  All sets of a family's component are its
+        members, the others of its regions are probes of it: every pair of a region that is left is then a member
+        and a probe, or two probes, of one family.
         """
         rows = settled(self.placed())
         most = rows.groupBy("key", "comp").count().groupBy("key").agg(
-            F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1").select("key", "main")
+            F.max_by("comp", F.struct("count", "comp")).alias("family"), F.count("*").alias("comps")).where("comps > 1").select("key", "family")
         rows = rows.join(small(settled(most)), "key")
-        rows = settled(rows.join(self._sizes(), "fp").select("key", "main", "fp", "comp", "n", "sketch"))
-        one = rows.where("comp <> main")
-        two = rows.select(*[F.col(c).alias(f"{c}_") for c in rows.columns])
-        bits = _differing(F.col("sketch"), F.col("sketch_"))
-        apart = (F.col("comp") != F.col("comp_")) & ((F.col("comp_") == F.col("main_")) | (F.col("fp") < F.col("fp_")))
-        return one.join(two, (F.col("key") == F.col("key_")) & apart & _sizes_fit("n", "n_", self.limit) & (bits <= MOST_BITS)).select(
-            F.col("fp").alias("a"), F.col("fp_").alias("b"))
+        rows = settled(rows.join(self._sizes(), "fp").select("key", "family", "fp", "comp", "n", "sketch"))
+        # who has anybody to meet: one row each, however many those are
+        other = rows.select(*[F.col(c).alias(f"{c}_") for c in rows.columns])
+        near = _sizes_fit("n", "n_", self.limit) & (_differing(F.col("sketch"), F.col("sketch_")) <= MOST_BITS)
+        meets = (F.col("key") == F.col("key_")) & (F.col("comp") != F.col("comp_")) & near
+        probes = rows.where("comp <> family").join(other, meets, "left_semi").select("family", "fp").distinct()
+        probes = settled(probes.withColumn("probe", F.lit(True)))
+        comps = self.sets.select("fp") if self.roots is None else self.sets.select("fp").join(
+            small(self.roots.withColumnRenamed("node", "fp")), "fp", "left")
+        comps = comps.select(F.coalesce("root", "fp").alias("family"), "fp") if self.roots is not None else comps.select(F.col("fp").alias("family"), "fp")
+        members = comps.join(small(settled(probes.select("family").distinct())), "family", "left_semi")
+        return members.withColumn("probe", F.lit(False)).unionByName(probes)
+
+    def meet_families(self) -> None:
+        """Confirm probes against the members of their family and one another, and join what is linked.
+
+        A family is dealt into lots of ``LOT`` shingles; a probe lies in one lot and visits all of them.
+        """
+        rows = settled(self.families())
+        sized = rows.join(self._sizes().select("fp", "n"), "fp")
+        lots = small(settled(sized.groupBy("family").agg(F.ceil(F.sum("n") / LOT).cast("int").alias("lots"))))
+        own = F.pmod(F.col("fp"), F.col("lots")).cast("int")
+        dealt = rows.join(lots, "family").select("family", "fp", F.explode(F.concat(
+            F.array(F.struct(own.alias("lot"), F.lit(False).alias("visits"))),
+            F.when(F.col("probe"), F.transform(F.sequence(F.lit(0), F.col("lots") - 1), lambda i: F.struct(i.alias("lot"), F.lit(True).alias("visits"))))
+            .otherwise(F.array().cast("array<struct<lot:int,visits:boolean>>")))).alias("to"))
+        dealt = dealt.select("family", "fp", "to.lot", "to.visits").join(self.texts, "fp")
+        order = ["family", "lot", "visits"]
+        met_in = dealt.select(*order, "fp", "text").repartition("family", "lot").sortWithinPartitions(*order, "fp")
+        links = settled(map_arrow(met_in, _visits(self.limit, self.shingle), "a bigint, b bigint").unionByName(self.links))
+        self.links, self.roots = links, settled(connected(links))
 
 
 def _least_linked(limit: float) -> int:
@@ -249,7 +320,7 @@ def near_classes(docs: DataFrame, limit: float = 0.8, shingle: int = SHINGLE, ke
     forest = _Forest(rows, written(alone, "forest-distinct"), limit, shingle)
     forest.meet(forest.neighbours(FIRST))
     forest.meet(forest.neighbours(TREES))
-    forest.meet(forest.rest())
+    forest.meet_families()
     classes = hashed.where("n > 0").groupBy("fp").agg(F.min("id").alias("rep"))
     rooted = settled(classes.join(forest.roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root")))
     names = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
