@@ -8,9 +8,9 @@ in any of ``TREES`` trees with probability 1e-7.
 
 How deep a region is searched depends on it, and goes on until nothing is left:
 
-1. in the first trees, then in all of them, every set meets its neighbour of the
-   longest common prefix, so that a crowded region of copies soon is one component,
-2. last, whatever shares ``BASE`` values and still lies in different components meets:
+1. in the first trees every set meets its neighbours of the longest common prefix, so
+   that a crowded region of copies is one component at once,
+2. then, in all trees, whatever shares ``BASE`` values and still lies in different components meets:
    the component that fills a region is a family, the region's other sets visit all of it.
 
 Candidates whose sizes cannot reach the similarity, or whose sketches (a bit of
@@ -34,7 +34,7 @@ from tallyloom.operators.lookup import small
 from tallyloom.session import settled
 
 SHINGLE = 2
-TREES, BASE, DEPTH, FIRST = 40, 5, 7, 3
+TREES, BASE, DEPTH, FIRST = 40, 5, 7, 8
 SKETCH = 128
 #: Sets of similarity 0.8 agree in a sketch bit with probability 0.9; 34 or more of 128 bits differ once in 4e7.
 MOST_BITS = 33
@@ -207,6 +207,7 @@ class _Forest:
         wanted = settled(sets.select("fp", "id").join(self.places.select("fp").distinct(), "fp", "left_semi"))
         texts = met(rows, small(wanted), ["id"]).select("fp", "text")
         self.texts = written(map_arrow(texts, _text_batches(shingle), "fp bigint, text binary").dropDuplicates(["fp"]), "forest-texts")
+        self.sizes = small(sets.select("fp", "n", "sketch"))
         self.links: DataFrame | None = None
         self.roots: DataFrame | None = None
 
@@ -219,22 +220,16 @@ class _Forest:
 
     def meet(self, pairs: DataFrame) -> None:
         """Confirm candidates ``a, b`` and join what they link."""
-        apart = settled(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        sides = [self._sizes().withColumnsRenamed({"fp": side, "n": f"n_{side}", "sketch": f"sketch_{side}"}) for side in "ab"]
+        apart = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        sides = [self.sizes.withColumnsRenamed({"fp": side, "n": f"n_{side}", "sketch": f"sketch_{side}"}) for side in "ab"]
         could = apart.join(sides[0], "a").join(sides[1], "b").where(
             _sizes_fit("n_a", "n_b", self.limit) & (_differing(F.col("sketch_a"), F.col("sketch_b")) <= MOST_BITS))
-        could = settled(could.select("a", "b"))
-        used = could.select(F.col("a").alias("fp")).union(could.select("b")).distinct()
-        texts = self.texts.join(small(settled(used)), "fp", "left_semi")
-        one, two = (texts.withColumnsRenamed({"fp": side, "text": f"text_{side}"}) for side in "ab")
-        could = could.join(one, "a").join(two, "b")
+        one, two = (self.texts.withColumnsRenamed({"fp": side, "text": f"text_{side}"}) for side in "ab")
+        could = could.select("a", "b").join(one, "a").join(two, "b")
         links = map_arrow(could.select("a", "b", "text_a", "text_b"), _confirmed(self.limit, self.shingle), "a bigint, b bigint")
         links = settled(links if self.links is None else links.unionByName(self.links))
         self.links, self.roots = links, settled(connected(links))
 
-    def _sizes(self) -> DataFrame:
-        return small(self.sets.select("fp", "n", "sketch"))
-
     def neighbours(self, trees: int) -> DataFrame:
         """Every place with the one before it in its tree, from another component."""
         order = ["key", "deep", "fp"]
@@ -252,7 +247,7 @@ class _Forest:
         most = rows.groupBy("key", "comp").count().groupBy("key").agg(
             F.max_by("comp", F.struct("count", "comp")).alias("family"), F.count("*").alias("comps")).where("comps > 1").select("key", "family")
         rows = rows.join(small(settled(most)), "key")
-        rows = settled(rows.join(self._sizes(), "fp").select("key", "family", "fp", "comp", "n", "sketch"))
+        rows = settled(rows.join(self.sizes, "fp").select("key", "family", "fp", "comp", "n", "sketch"))
         # who has anybody to meet: one row each, however many those are
         other = rows.select(*[F.col(c).alias(f"{c}_") for c in rows.columns])
         near = _sizes_fit("n", "n_", self.limit) & (_differing(F.col("sketch"), F.col("sketch_")) <= MOST_BITS)
@@ -271,7 +266,7 @@ class _Forest:
         A family is dealt into lots of ``LOT`` shingles; a probe lies in one lot and visits all of them.
         """
         rows = settled(self.families())
-        sized = rows.join(self._sizes().select("fp", "n"), "fp")
+        sized = rows.join(self.sizes.select("fp", "n"), "fp")
         lots = small(settled(sized.groupBy("family").agg(F.ceil(F.sum("n") / LOT).cast("int").alias("lots"))))
         own = F.pmod(F.col("fp"), F.col("lots")).cast("int")
         dealt = rows.join(lots, "family").select("family", "fp", F.explode(F.concat(
@@ -319,7 +314,6 @@ def near_classes(docs: DataFrame, limit: float = 0.8, shingle: int = SHINGLE, ke
         F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "keys", "deeps", "sketch")])
     forest = _Forest(rows, written(alone, "forest-distinct"), limit, shingle)
     forest.meet(forest.neighbours(FIRST))
-    forest.meet(forest.neighbours(TREES))
     forest.meet_families()
     classes = hashed.where("n > 0").groupBy("fp").agg(F.min("id").alias("rep"))
     rooted = settled(classes.join(forest.roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root")))

@@ -311,7 +311,9 @@ def audited(turns: DataFrame) -> DataFrame:
         F.when(F.size("items") > 1, inner).otherwise(0).alias("illegal"),
         F.element_at("items", 1)["initial"].alias("head"), F.element_at("items", -1)["initial"].alias("tail")))
     schema = f"conv {pieces.schema['conv'].dataType.simpleString()}"
-    paths = map_arrow(pieces.select("conv", "piece", "n", "codes"), _searched,
+    # few bytes but much work: not left to one task
+    tasks = pieces.sparkSession.sparkContext.defaultParallelism
+    paths = map_arrow(pieces.select("conv", "piece", "n", "codes").repartition(tasks), _searched,
                       f"{schema}, piece bigint, entry int, leave int, cost bigint, audit string")
     gathered = paths.groupBy("conv").agg(F.collect_list(F.struct("piece", "entry", "leave", "cost", "audit")).alias("paths"))
     edits = map_arrow(gathered, _joined_batches, f"{schema}, cost bigint, audit string")
