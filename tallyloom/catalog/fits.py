@@ -36,6 +36,18 @@ _SUMS_SQL = ", ".join(
     + [f"sum(x{i} * x{j}) AS x_{i}_{j}" for i in range(4) for j in range(i, 4)])
 
 
+def _members_sql(keys: str, key: str, batch: int, total: str, passes: int, seed: int = 13) -> str:
+    """Which row joins which batch: gaps drawn one after another, as long as there are passes."""
+    number = lambda k: sql_uniform(f"{key} || ':' || {k}", seed)
+    gap = lambda k: (
+        f"CASE WHEN (SELECT n FROM total) <= {batch} THEN 0 ELSE least(floor(ln(1 - {number(k)}) / ln(1 - {batch}.0::DOUBLE / (SELECT n FROM total))), "
+        f"{passes})::INT END")
+    return f"""total AS MATERIALIZED (SELECT count(*)::DOUBLE AS n FROM ({total})),
+ drawn AS (SELECT {key}, 0 AS k, {gap('0')} AS pass FROM ({keys})
+  UNION ALL SELECT {key}, k + 1, pass + 1 + {gap('(k + 1)')} FROM drawn WHERE pass < {passes}),
+ members AS MATERIALIZED (SELECT {key}, pass FROM drawn WHERE pass < {passes})"""
+
+
 def _linear_sql(batches: bool, passes: int, rate: str, tolerance: float | None, batch: int = 50, seed: int = 13) -> str:
     """The descent as a recursive query over the sums of products."""
     xx = [[f"x_{min(i, j)}_{max(i, j)}" for j in range(4)] for i in range(4)]
@@ -44,9 +56,8 @@ def _linear_sql(batches: bool, passes: int, rate: str, tolerance: float | None,
             + " + ".join(f"w{i} * {row[i]}" for i in range(4)) + ") / divisor")
     grads = ", ".join(f"({row[i]} - y_{i}) / divisor AS g{i}" for i in range(4))
     if batches:
-        member = sql_uniform("key || ':' || pass", seed)
-        sums = f"""g AS MATERIALIZED (SELECT pass, {batch}.0::DOUBLE AS divisor, {_SUMS_SQL} FROM x, range(0, {passes}) t(pass)
-          WHERE {member} < {batch}.0::DOUBLE / (SELECT count(*) FROM x) GROUP BY pass)"""
+        sums = f"""{_members_sql("SELECT DISTINCT key FROM x", "key", batch, "SELECT 1 FROM x", passes, seed)},
+         g AS MATERIALIZED (SELECT pass, {batch}.0::DOUBLE AS divisor, {_SUMS_SQL} FROM x JOIN members USING (key) GROUP BY pass)"""
         link = "g.pass = it.i AND"
     else:
         sums = f"g AS MATERIALIZED (SELECT *, n AS divisor FROM (SELECT {_SUMS_SQL} FROM x))"
@@ -186,10 +197,7 @@ def _margin_sql(model: str, passes: int, rate: float, penalty: str, idf: bool =
     steps = [f" w0 AS MATERIALIZED (SELECT pos, 0.1::DOUBLE AS w FROM terms)",
              f" st0 AS (SELECT {rate}::DOUBLE AS rate, 0.0::DOUBLE AS old)"]
     for i in range(passes):
-        member = ""
-        if batch:
-            chance = sql_uniform(f"doc_id || ':' || {i}", seed)
-            member = f"WHERE {chance} < {batch}.0::DOUBLE / (SELECT count(*) FROM docs)"
+        member = f"JOIN members USING (doc_id) WHERE pass = {i}" if batch else ""
         steps += [
             f""" m{i} AS MATERIALIZED (SELECT doc_id, any_value(y) AS y, sum(value * w) AS m
                  FROM feats JOIN w{i} USING (pos) {member} GROUP BY doc_id)""",
@@ -202,18 +210,19 @@ def _margin_sql(model: str, passes: int, rate: float, penalty: str, idf: bool =
             f""" st{i + 1} AS (SELECT CASE WHEN loss < old THEN rate * 1.05::DOUBLE ELSE rate * 0.5::DOUBLE END AS rate, loss AS old
                  FROM st{i}, l{i})""",
         ]
-    return f"WITH {_DOCS_SQL}, {feats}{share}, " + ",".join(steps)
+    drawn = ", " + _members_sql("SELECT DISTINCT doc_id FROM feats", "doc_id", batch, "SELECT 1 FROM docs", passes, seed) if batch and passes else ""
+    return f"WITH RECURSIVE {_DOCS_SQL}, {feats}{share}{drawn}, " + ",".join(steps)
 
 
 def _whole_sql(model: str, passes: int, rate: float, tolerance: float, penalty: str, idf: bool = True, batch: int | None = None,
                seed: int = 13) -> str:
     start = _margin_sql(model, 0, rate, penalty, idf, batch, seed)
-    prelude = start[len("WITH "):].rsplit(", w0 AS MATERIALIZED", 1)[0].rstrip().rstrip(",")
+    prelude = start[len("WITH RECURSIVE "):].rsplit(", w0 AS MATERIALIZED", 1)[0].rstrip().rstrip(",")
     return _descent_sql(prelude, model, passes, rate, tolerance, penalty, batch, seed)
 
 
 def _descent_sql(prelude: str, model: str, passes: int, rate: float, tolerance: float, penalty: str, batch: int | None = None,
-                 seed: int = 13, total: str = "SELECT count(*) FROM docs") -> str:
+                 seed: int = 13, total: str = "SELECT 1 FROM docs") -> str:
     """The whole descent with its stop test as a recursive query over ``feats``; the weights are one list per pass."""
     loss = {
         "logistic": "-y * m + greatest(m, 0) + ln(1 + exp(-abs(m)))",
@@ -233,11 +242,13 @@ def _descent_sql(prelude: str, model: str, passes: int, rate: float, tolerance:
         "scalar": (f"raw + 2 * {factor}::DOUBLE * norm", f"(z[2] + 2 * {factor}::DOUBLE * norm)"),
         "batch": (f"{r} * 0.5 * norm + raw / {b}", f"({r} * z[1] + z[2] / {b})"),
     }[kind]
-    chance = sql_uniform("f.doc_id || ':' || it.i", seed)
-    member = f"AND {chance} < {batch}.0::DOUBLE / ({total})" if batch else ""
-    margins = f"""SELECT f.doc_id, any_value(f.y) AS y, sum(f.value * it.w[f.pos + 1]) AS m FROM feats f, it
+    member, drawn = "", ""
+    if batch:
+        member = "AND b.doc_id = f.doc_id AND b.pass = it.i"
+        drawn = _members_sql("SELECT DISTINCT doc_id FROM feats", "doc_id", batch, total, passes, seed) + ","
+    margins = f"""SELECT f.doc_id, any_value(f.y) AS y, sum(f.value * it.w[f.pos + 1]) AS m FROM feats f, it{", members b" if batch else ""}
       WHERE NOT it.done AND it.i < {passes} {member} GROUP BY f.doc_id"""
-    return f"""WITH RECURSIVE {prelude},
+    return f"""WITH RECURSIVE {prelude}, {drawn}
  it AS (SELECT 0::BIGINT AS i, (SELECT list(0.1::DOUBLE) FROM terms) AS w, {rate}::DOUBLE AS rate, 0.0::DOUBLE AS old, false AS done
   UNION ALL
   SELECT i + 1, list_transform(list_zip(w, gs), lambda z: z[1] - rate * {whole_gradient}),
@@ -442,7 +453,7 @@ def _flow_sql(name: str, passes: int, penalty: str) -> str:
     for task, target, without in preset.tasks:
         own = f"WHERE label <> {without}" if without is not None else ""
         value, joined = ("value * idf", "JOIN idf USING (pos)") if preset.use_idf else ("value", "")
-        total = "SELECT count(*) FROM docs" if without is None else "SELECT count(DISTINCT doc_id) FROM feats"
+        total = "SELECT 1 FROM docs" if without is None else "SELECT DISTINCT doc_id FROM feats"
         negative = "0.0" if model == "logistic" else "-1.0"
         prelude = f"""{words}, docs AS MATERIALIZED (SELECT doc_id, label, words FROM every WHERE train), {TERMS_SQL}, {IDF_SQL},
  feats AS MATERIALIZED (SELECT tf.doc_id, tf.pos, {value} AS value,
@@ -477,10 +488,11 @@ def _flow(preset: str, passes: int | None):
 
 _PENALTIES = {"logistic_full": "scalar:1e-4", "logistic_full_unstemmed": "scalar:1e-4", "logistic_batches": "scalar:1e-3",
               "svm_batches": "batch:0.1", "weighted_svm": "none"}
-for _name, _passes in [("logistic_full", 5), ("logistic_full_unstemmed", 5), ("logistic_batches", 5), ("svm_batches", 5),
-                       ("weighted_svm", 500), ("multinomial", None), ("forest", None)]:
-    query(_flow_sql(_name, _passes, _PENALTIES[_name]) if _name in _PENALTIES else None, name=f"flow_{_name}")(_flow(_name, _passes))
-
-# the flows above with five passes are quick checks; these are the whole jobs
+# five passes: a quick check of everything around the fit
 for _name in ("logistic_full", "logistic_full_unstemmed", "logistic_batches", "svm_batches"):
+    query(_flow_sql(_name, 5, _PENALTIES[_name]), name=f"flow_{_name}_quick")(_flow(_name, 5))
     query(_flow_sql(_name, documents.PRESETS[_name].passes, _PENALTIES[_name]), name=f"flow_{_name}_whole")(_flow(_name, None))
+query(_flow_sql("weighted_svm", documents.PRESETS["weighted_svm"].passes, _PENALTIES["weighted_svm"]), name="flow_weighted_svm")(
+    _flow("weighted_svm", None))
+for _name in ("multinomial", "forest"):
+    query(name=f"flow_{_name}")(_flow(_name, None))

@@ -6,15 +6,16 @@ when the loss changed by no more than the tolerance.
 
 * Squared loss needs one job for the whole fit: loss and gradient of *any*
   weights follow from the sums of products X'X, X'y, y'y.
-* Logistic and hinge losses need one aggregate per pass over features that are
-  kept in memory, partitioned and sorted by document; the weights (one double
-  per dictionary word) are broadcast, and only per-word sums are shuffled.
-* Mini-batches are drawn for all passes in one scan.
+* Logistic and hinge losses need one pass per step over features packed into
+  blocks (``blocks.py``); models that learn from the same features share it, the
+  weights (one double per dictionary word) go along, and only sums are shuffled.
+* Mini-batches are drawn for all passes in one scan and fetched in bounded lots.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Generator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tallyloom.functions.hashing import fast_uniform, uniform
 from tallyloom.functions.losses import RowLoss
 from tallyloom.operators.lookup import small
+from tallyloom.plans.blocks import Batches, Side, packed, pass_over
 from tallyloom.session import settled
 
 MAX_WEIGHTS = 2_000_000
@@ -39,10 +41,11 @@ class Descent:
     passes: int
     record_last: bool = True  # record the loss of the pass that stops the fit
 
-    def run(self, weights: np.ndarray, evaluate: Callable[[int, np.ndarray], tuple[float, np.ndarray] | None]) -> "Fit":
+    def steps(self, weights: np.ndarray) -> Generator[tuple[int, np.ndarray], tuple[float, np.ndarray] | None, "Fit"]:
+        """Yields pass and weights, takes loss and gradient there (None for an empty batch), returns the fit."""
         rate, before, fit = self.rate, 0.0, Fit(weights)
         for i in range(self.passes):
-            result = evaluate(i, weights)
+            result = yield i, weights
             if result is None:  # an empty batch: nothing to learn from
                 continue
             loss, gradient = result
@@ -58,6 +61,25 @@ class Descent:
             before = loss
         return fit
 
+    def run(self, weights: np.ndarray, evaluate: Callable[[int, np.ndarray], tuple[float, np.ndarray] | None]) -> "Fit":
+        return together([self], [weights], lambda asked: {i: evaluate(*asked[i]) for i in asked})[0]
+
+
+def together(rules: Sequence[Descent], weights: Sequence[np.ndarray], evaluate: Callable) -> "list[Fit]":
+    """Several descents in step: ``evaluate`` gets pass and weights of all that still run and answers for each."""
+    runs = [rule.steps(w) for rule, w in zip(rules, weights)]
+    fits: list[Fit | None] = [None] * len(runs)
+    answers: dict[int, tuple | None] = dict.fromkeys(range(len(runs)))
+    while answers:
+        asked = {}
+        for i, answer in answers.items():
+            try:
+                asked[i] = runs[i].send(answer)
+            except StopIteration as done:
+                fits[i] = done.value
+        answers = evaluate(asked) if asked else {}
+    return fits
+
 
 @dataclass
 class Fit:
@@ -118,11 +140,25 @@ def batch_members(df: DataFrame, key: str, size: int, total: int, passes: int, s
                   fast: bool = True) -> DataFrame:
     """Rows with the passes whose batch they belong to (``_pass`` from 0); most rows belong to none.
 
-    All passes are drawn in one scan instead of one scan per pass.
+    A row joins each batch with probability ``size / total``.  What is drawn is the gap to the next batch it
+    joins (geometric, from draw number 0, 1, ...), so a row costs one draw more than it has batches, however
+    many passes there are, and all passes are drawn in one scan.
     """
+    if total <= size:
+        return df.withColumn("_pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))))
     draw = fast_uniform if fast else uniform
-    member = F.filter(F.sequence(F.lit(0), F.lit(passes - 1)), lambda p: draw(F.col(key), p, seed=seed) < F.lit(size / total))
-    return df.withColumn("_pass", F.explode(member))
+    scale = F.lit(math.log1p(-size / total))
+
+    def after(place: Column, number: Column) -> Column:
+        gap = F.floor(F.log(1.0 - draw(F.col(key), number, seed=seed)) / scale)
+        return (place + F.least(gap, F.lit(passes)) + 1).cast("int")
+
+    first = df.withColumn("_first", after(F.lit(-1), F.lit(0))).where(F.col("_first") < passes)
+    places = F.aggregate(
+        F.sequence(F.lit(1), F.lit(passes)), F.array("_first"),
+        lambda found, i: F.when(F.element_at(found, -1) >= passes, found).otherwise(
+            F.concat(found, F.array(after(F.element_at(found, -1), i)))))
+    return first.withColumn("_pass", F.explode(F.filter(places, lambda p: p < passes))).drop("_first")
 
 
 def fit_linear_batches(df: DataFrame, inputs: Sequence[str], target: str, key: str, size: int = 50,
@@ -147,17 +183,8 @@ def with_target(features: DataFrame, label: Column, negative: float) -> DataFram
     return features.withColumn("y", F.when(label, F.lit(1.0)).otherwise(F.lit(float(negative))))
 
 
-def _partitions(df: DataFrame, rows: int, per_partition: int) -> int:
-    """Partitions for rows that are read again and again: few for little data, at least one per core."""
-    return max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // per_partition))
-
-
 def arranged(features: DataFrame, key: str = "doc_id", partitions: int | None = None) -> DataFrame:
-    """Features partitioned and sorted by document, with one row per document marked.
-
-    Keep the result in memory for a fit: each pass then sums margins per document
-    without a shuffle or a sort.
-    """
+    """Features partitioned and sorted by document, with one row per document marked."""
     ordered = features.select(F.col(key).alias("_doc"), "pos", "value", "y")
     ordered = ordered.repartition(partitions, "_doc") if partitions else ordered.repartition("_doc")
     first = F.row_number().over(Window.partitionBy("_doc").orderBy("pos")) == 1
@@ -180,14 +207,6 @@ def pass_sums(features: DataFrame, weights: DataFrame, model: RowLoss, document:
     )
 
 
-def _dense(sums: DataFrame, width: int) -> tuple[float, np.ndarray, int]:
-    """At most one row per dictionary position comes to the driver."""
-    frame = sums.toPandas()
-    gradient = np.zeros(width)
-    gradient[frame["pos"].to_numpy()] = frame["gradient"].to_numpy()
-    return float(frame["loss"].sum()), gradient, int(frame["docs"].sum())
-
-
 # Penalties: (weights, loss, gradient) -> (loss, gradient).
 
 def scalar_norm_penalty(factor: float):
@@ -216,52 +235,51 @@ def no_penalty(w, loss, gradient):
     return loss, gradient
 
 
+def fit_margins(blocks: DataFrame, width: int, sides: Sequence[Side], rules: Sequence[Descent], penalty=no_penalty,
+                start: float = 0.1) -> list[Fit]:
+    """Full-batch descents over packed blocks, all in step: one pass over the data serves every model still running."""
+    _check_width(width)
+
+    def evaluate(asked):
+        sums = pass_over(blocks, [sides[i] for i in asked], [w for _, w in asked.values()])
+        return {i: penalty(w, loss, gradient) if docs else None for (i, (_, w)), (loss, gradient, docs) in zip(asked.items(), sums)}
+
+    return together(rules, [np.full(width, start)] * len(sides), evaluate)
+
+
 def fit_margin(features: DataFrame, width: int, model: RowLoss, rule: Descent, penalty=no_penalty,
                start: float = 0.1, key: str = "doc_id") -> Fit:
-    """Full-batch descent over features ``key, pos, value, y``: one aggregate per pass.
-
-    Hand in ``settled`` features, so that a pass plans the aggregate only and not
-    how the features came about.
-    """
-    _check_width(width)
-    spark = features.sparkSession
-    partitions = _partitions(features, features.count(), 4_000_000)
-    kept = arranged(features, key, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    """Full-batch descent over features ``key, pos, value, y``: packed once, then one pass of sums per step."""
+    blocks = packed(features, key, "y").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        def evaluate(i, w):
-            loss, gradient, docs = _dense(pass_sums(kept, weight_table(spark, w), model), width)
-            return penalty(w, loss, gradient) if docs else None
-
-        return rule.run(np.full(width, start), evaluate)
+        return fit_margins(blocks, width, [Side(model)], [rule], penalty, start)[0]
     finally:
-        kept.unpersist()
+        blocks.unpersist()
 
 
 def fit_margin_batches(features: DataFrame, width: int, model: RowLoss, rule: Descent, size: int, total: int,
                        penalty=no_penalty, start: float = 0.1, key: str = "doc_id", seed: int | str = 13,
-                       fast: bool = True) -> Fit:
-    """Mini-batch descent.  The batches of all passes are drawn in one scan and kept; a pass reads
-    only its own documents.  Expected size kept: ``size * passes`` documents."""
+                       fast: bool = True, label: str = "y", target: float | None = None) -> Fit:
+    """Mini-batch descent over features ``key, pos, value`` and a label (``y``: the target itself).
+
+    The batches of all passes are drawn in one scan, packed and kept (``size * passes`` documents); many passes
+    are done on each lot that is fetched."""
     _check_width(width)
-    spark = features.sparkSession
     # about size * passes rows: kept, counted and broadcast, so the features are not shuffled to find the batches
     drawn = small(settled(batch_members(features.select(key).distinct(), key, size, total, rule.passes, seed, fast)))
-    members = features.join(drawn, key).select(F.col(key).alias("_doc"), "_pass", "pos", "value", "y")
-    first = F.row_number().over(Window.partitionBy("_pass", "_doc").orderBy("pos")) == 1
-    kept = (
-        members.repartition(_partitions(features, size * rule.passes, 10_000), "_pass", "_doc").withColumn("_head", first)
-        .sortWithinPartitions("_pass", "_doc").persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    members = features.join(drawn, key).select(key, "_pass", "pos", "value", label)
+    blocks = packed(members, key, label, "_pass").persist(StorageLevel.MEMORY_AND_DISK)
+    side = Side(model, target)
     try:
+        batches = Batches(blocks)
+
         def evaluate(i, w):
-            batch = kept.where(F.col("_pass") == i)
-            sums = pass_sums(batch, weight_table(spark, w), model, ("_pass", "_doc"))
-            loss, gradient, docs = _dense(sums, width)
-            return penalty(w, loss, gradient) if docs else None
+            sums = batches.sums(i, side, w)
+            return penalty(w, sums[0], sums[1]) if sums and sums[2] else None
 
         return rule.run(np.full(width, start), evaluate)
     finally:
-        kept.unpersist()
+        blocks.unpersist()
 
 
 def _check_width(width: int) -> None:

@@ -20,8 +20,9 @@ from tallyloom.operators.measures import confusion, f_by_label, positive_share,
 from tallyloom.operators.recode import bag_union, class_from_prefix, numbered_copies, parse_tagged_line, synthetic_ids
 from tallyloom.operators.vocabulary import stem_documents
 from tallyloom.plans import mlfit
+from tallyloom.plans.blocks import Side, packed
 from tallyloom.plans.descent import (
-    Descent, Fit, batch_norm_penalty, fit_margin, fit_margin_batches, no_penalty, scalar_norm_penalty, with_target,
+    Descent, Fit, batch_norm_penalty, fit_margin_batches, fit_margins, no_penalty, scalar_norm_penalty,
 )
 from tallyloom.plans.timing import Phases
 from tallyloom.session import settled
@@ -83,19 +84,30 @@ def _loss(preset: Preset, docs: DataFrame, features: DataFrame, target: int) ->
     return weighted_hinge(share["pr"])
 
 
-def fit_task(preset: Preset, docs: DataFrame, features: DataFrame, width: int, target: int, without: int | None,
-             seed: int | str = 13, fast: bool = True) -> Fit:
-    """One binary fit: ``target`` against the rest, optionally without a class."""
-    if without is not None:
-        docs, features = docs.where(F.col("label") != without), features.where(F.col("label") != without)
-    model = _loss(preset, docs, features, target)
-    marked = with_target(features, F.col("label") == target, model.negative)
+def fit_tasks(preset: Preset, docs: DataFrame, features: DataFrame, width: int, seed: int | str = 13,
+              fast: bool = True) -> list[Fit]:
+    """The fit of every task: its target against the rest, optionally without a class.
+
+    Full-batch fits run in step over one set of blocks; a mini-batch fit draws its own batches.
+    """
+    models = [_loss(preset, *_without(docs, features, w), target) for _, target, w in preset.tasks]
     rule = Descent(preset.rate, preset.tolerance, preset.passes)
     if preset.batch is None:
-        return fit_margin(marked, width, model, rule, preset.penalty)
-    # the third task samples against its own documents that have features, the others against all documents
-    total = docs.count() if without is None else features.select("doc_id").distinct().count()
-    return fit_margin_batches(marked, width, model, rule, preset.batch, total, preset.penalty, seed=seed, fast=fast)
+        sides = [Side(model, target, without) for model, (_, target, without) in zip(models, preset.tasks)]
+        with reused(packed(features)) as (blocks,):
+            return fit_margins(blocks, width, sides, [rule] * len(sides), preset.penalty)
+    fits = []
+    for model, (_, target, without) in zip(models, preset.tasks):
+        mine = _without(docs, features, without)
+        # the third task samples against its own documents that have features, the others against all documents
+        total = docs.count() if without is None else mine[1].select("doc_id").distinct().count()
+        fits.append(fit_margin_batches(
+            mine[1], width, model, rule, preset.batch, total, preset.penalty, seed=seed, fast=fast, label="label", target=target))
+    return fits
+
+
+def _without(docs: DataFrame, features: DataFrame, label: int | None) -> tuple[DataFrame, DataFrame]:
+    return (docs, features) if label is None else (docs.where(F.col("label") != label), features.where(F.col("label") != label))
 
 
 def run_documents(training: DataFrame, testing: DataFrame, preset: str | Preset, size: int = 20000,
@@ -119,10 +131,9 @@ def run_documents(training: DataFrame, testing: DataFrame, preset: str | Preset,
     with reused(training, terms) as (docs, words):
         width = words.count()
         features = settled(training_weights(docs, words, carry=["label"], use_idf=preset.use_idf))
-        fits = []
         with phases("train"):
-            for name, target, without in preset.tasks:
-                fits.append((name, target, fit_task(preset, docs, features, width, target, without, seed, fast)))
+            found = fit_tasks(preset, docs, features, width, seed, fast)
+        fits = [(name, target, fit) for (name, target, _), fit in zip(preset.tasks, found)]
         with phases("test"):
             held = scoring_features(testing, words, carry=["label"], idf_from="test" if preset.use_idf else "none")
             with reused(held) as (scoring,):

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def local_session(cores: int | str = "*", partitions: int = 8, name: str = "tallyloom") -> SparkSession:
     """Session for tests and benchmarks.  On a cluster, bring your own session:
@@ -52,3 +56,14 @@ def settled(df: DataFrame) -> DataFrame:
     """
     use_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def importable(df: DataFrame) -> None:
+    """Let Python workers import this package also when the driver was started elsewhere.
+
+    On a cluster ship the package with ``--py-files``; the folder added here then matches nothing.
+    """
+    env = df.sparkSession.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])

@@ -27,7 +27,7 @@ def test_library_models_score_every_row(spark, folder, name):
     assert out.where("pred is null or pred not between 0 and 9").count() == 0
 
 
-@pytest.mark.parametrize("name", ["flow_logistic_full", "flow_svm_batches", "flow_weighted_svm", "flow_forest"])
+@pytest.mark.parametrize("name", ["flow_logistic_full_quick", "flow_svm_batches_quick", "flow_weighted_svm", "flow_forest"])
 def test_flows_measure_their_tasks(spark, folder, name):
     rows = QUERIES[name](spark, folder).collect()
     assert len(rows) == {"flow_weighted_svm": 1, "flow_forest": 2}.get(name, 3)
