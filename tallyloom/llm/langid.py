@@ -22,6 +22,7 @@ WINDOW, HIDDEN = 64, 16
 #: Bound of the labelled sample: documents of each language, and windows taken from each, spread over its text.
 SAMPLE_DOCS, SAMPLE_WINDOWS = 400, 8
 UNKNOWN = "und"
+TEXTS = 2000  # texts labelled together, so that windows come in whole lots
 
 
 def held_out(key: str, modulus: int, remainder: int) -> Column:
@@ -67,46 +68,53 @@ class ByteNetwork:
         out[1] = out[1, ::-1].copy()
         return out
 
-    def _fast_states(self, codes: np.ndarray, mask: np.ndarray | None) -> np.ndarray:
-        """As ``states`` without a trace, in buffers that are reused; gates are scaled once instead of at every step."""
-        h = self.hidden
+    def _odds(self, codes: np.ndarray, mask: np.ndarray | None) -> np.ndarray:
+        """Label probabilities (time, classes, windows) of every byte.
+
+        As ``states`` without a trace: units first and windows last, so that every step works on whole rows, in
+        buffers that are reused; gates are scaled once instead of at every step.
+        """
+        h, w = self.hidden, self.weights
         scale, shift = np.ones(3 * h, np.float32), np.zeros(3 * h, np.float32)
         scale[: 2 * h], shift[: 2 * h] = 0.25, 0.5
-        table, inner_of, bias = self.weights["x"] * scale + shift, self.weights["u"] * scale, self.weights["b"]
+        tables = np.ascontiguousarray((w["x"] * scale + shift).transpose(0, 2, 1))
+        inner_of = np.ascontiguousarray((w["u"] * scale).transpose(0, 2, 1))
+        bias, ends = w["b"].transpose(0, 2, 1), np.ascontiguousarray(w["v"].reshape(2, h, -1).transpose(0, 2, 1))
         steps, count = codes.shape
-        out = np.empty((2, steps, count, h), np.float32)
-        state = np.zeros((2, count, h), np.float32)
-        inputs, inner = np.empty((2, count, 3 * h), np.float32), np.empty((2, count, 3 * h), np.float32)
-        gates = np.empty((2, count, 2 * h), np.float32)
-        for t in range(steps):
-            np.take(table[0], codes[t], axis=0, out=inputs[0], mode="clip")
-            np.take(table[1], codes[steps - 1 - t], axis=0, out=inputs[1], mode="clip")
-            np.matmul(state, inner_of, out=inner)
-            np.add(inputs[:, :, : 2 * h], inner[:, :, : 2 * h], out=gates)
-            np.maximum(gates, 0, out=gates)
-            np.minimum(gates, 1, out=gates)
-            fresh = inner[:, :, 2 * h :] + bias
-            fresh *= gates[:, :, h:]
-            fresh += inputs[:, :, 2 * h :]
-            np.tanh(fresh, out=fresh)
-            state -= fresh
-            state *= gates[:, :, :h]
-            state += fresh
-            if mask is not None:
-                state[0] *= mask[t, :, None]
-                state[1] *= mask[steps - 1 - t, :, None]
-            out[0, t], out[1, steps - 1 - t] = state
-        return out
+        logits = np.empty((steps, ends.shape[1], count), np.float32)
+        inputs, inner = np.empty((3 * h, count), np.float32), np.empty((3 * h, count), np.float32)
+        label = np.empty((ends.shape[1], count), np.float32)
+        for side in (0, 1):
+            state = np.zeros((h, count), np.float32)
+            for t in range(steps) if side == 0 else range(steps - 1, -1, -1):
+                np.take(tables[side], codes[t], axis=1, out=inputs, mode="clip")
+                np.matmul(inner_of[side], state, out=inner)
+                gates, fresh = inner[: 2 * h], inner[2 * h :]
+                gates += inputs[: 2 * h]
+                np.maximum(gates, 0, out=gates)
+                np.minimum(gates, 1, out=gates)
+                fresh += bias[side]
+                fresh *= gates[h:]
+                fresh += inputs[2 * h :]
+                np.tanh(fresh, out=fresh)
+                state -= fresh
+                state *= gates[:h]
+                state += fresh
+                if mask is not None:
+                    state *= mask[t]
+                if side == 0:
+                    np.matmul(ends[0], state, out=logits[t])
+                else:
+                    logits[t] += np.matmul(ends[1], state, out=label)
+        logits += w["c"][:, None]
+        logits -= logits.max(1, keepdims=True)
+        np.exp(logits, out=logits)
+        logits /= logits.sum(1, keepdims=True)
+        return logits
 
     def probabilities(self, codes: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
         """Label probabilities (time, windows, classes) of every byte."""
-        h = self.hidden
-        s = self._fast_states(codes, mask).reshape(2, -1, h)
-        logits = s[0] @ self.weights["v"][:h] + s[1] @ self.weights["v"][h:] + self.weights["c"]
-        logits -= logits.max(-1, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(-1, keepdims=True)
-        return logits.reshape(*codes.shape, -1)
+        return self._odds(codes, mask).transpose(0, 2, 1)
 
     def gradients(self, codes: np.ndarray, mask: np.ndarray, labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Loss (mean cross entropy over bytes) and its gradient by backpropagation through time."""
@@ -219,14 +227,17 @@ def pooled(network: ByteNetwork, texts: list[bytes], lot: int = 1024) -> np.ndar
     owners = np.repeat(np.arange(len(texts)), [len(w) for w in whole])
     grid = np.concatenate(whole) if len(owners) else np.zeros((0, WINDOW), np.uint8)
     for at in range(0, len(owners), lot):
-        p = network.probabilities(np.ascontiguousarray(grid[at : at + lot].T))
-        np.add.at(sums, owners[at : at + lot], p.sum(0))
+        p = network._odds(np.ascontiguousarray(grid[at : at + lot].T), None)
+        np.add.at(sums, owners[at : at + lot], p.sum(0).T)
     rest = [(i, t[len(t) // WINDOW * WINDOW :]) for i, t in enumerate(texts) if len(t) % WINDOW]
+    rest.sort(key=lambda r: len(r[1]))  # rests of like length together: no step runs on rests that are over
     for at in range(0, len(rest), lot):
         part = rest[at : at + lot]
         codes, mask = _codes([w for _, w in part])
-        p = network.probabilities(codes, mask) * mask[:, :, None]
-        np.add.at(sums, [i for i, _ in part], p.sum(0))
+        longest = len(part[-1][1])
+        codes, mask = codes[:longest], mask[:longest]
+        p = network._odds(codes, mask) * mask[:, None, :]
+        np.add.at(sums, [i for i, _ in part], p.sum(0).T)
     return sums / np.maximum(1, [len(t) for t in texts])[:, None]
 
 
@@ -242,8 +253,8 @@ def predicted(docs: DataFrame, names: list[str], network: ByteNetwork | None, ca
         names, network = sent.value
         for batch in batches:
             texts, preds, scores = batch.column(batch.num_columns - 1), [], []
-            for at in range(0, batch.num_rows, 256):
-                some = [v.as_py() or b"" for v in texts[at : at + 256]]
+            for at in range(0, batch.num_rows, TEXTS):
+                some = [v.as_py() or b"" for v in texts[at : at + TEXTS]]
                 known = [i for i, t in enumerate(some) if t] if network else []
                 best, top = np.full(len(some), -1), np.zeros(len(some))
                 if known:
