@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,3 +35,14 @@ def batch_of(**columns) -> pa.RecordBatch:
 def raw(value: pa.Scalar) -> bytes:
     """Bytes of a binary scalar, nothing for null."""
     return value.as_py() or b""
+
+
+_HELD: dict[str, Any] = {}
+
+
+def held(name: str, load: Callable[[], Any]) -> Any:
+    """The model a worker works with; a worker holds one at a time, whatever operators it served before."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = load()
+    return _HELD[name]

@@ -10,13 +10,14 @@ in Arrow tasks without a shuffle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyloom.llm.arrow import map_arrow
+from tallyloom.llm.arrow import held, map_arrow
 
 WINDOW, HIDDEN = 64, 16
 #: Bound of the labelled sample: documents of each language, and windows taken from each, spread over its text.
@@ -247,28 +248,30 @@ def predicted(docs: DataFrame, names: list[str], network: ByteNetwork | None, ca
     A null text, one without a letter, and any text when no language was learned
     is ``und`` with score 0.  Ties go to the first name.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((names, network))
+    sent, name = docs.sparkSession.sparkContext.broadcast((names, network)), uuid.uuid4().hex
+    shown = list(dict.fromkeys([*carried, text]))
+
+    def labelled(network: ByteNetwork | None, names: list[str], batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, readable = batch.column(shown.index(text)).cast(pa.binary()), batch.column(len(shown))
+        known = [i for i, r in enumerate(readable.to_pylist()) if r] if network else []
+        best, top = np.full(batch.num_rows, -1), np.zeros(batch.num_rows)
+        if known:
+            p = pooled(network, [texts[i].as_py() for i in known])
+            best[known], top[known] = p.argmax(1), np.clip(p.max(1), 0, 1)
+        preds = [names[b] if b >= 0 else UNKNOWN for b in best]
+        return pa.RecordBatch.from_arrays(
+            [*(batch.column(shown.index(c)) for c in carried), pa.array(preds, pa.string()), pa.array(top)], [*carried, "lang_pred", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, network = sent.value
+        names, network = held(name, lambda: sent.value)
         for batch in batches:
-            texts, preds, scores = batch.column(batch.num_columns - 1), [], []
             for at in range(0, batch.num_rows, TEXTS):
-                some = [v.as_py() or b"" for v in texts[at : at + TEXTS]]
-                known = [i for i, t in enumerate(some) if t] if network else []
-                best, top = np.full(len(some), -1), np.zeros(len(some))
-                if known:
-                    p = pooled(network, [some[i] for i in known])
-                    best[known], top[known] = p.argmax(1), p.max(1)
-                preds += [names[b] if b >= 0 else UNKNOWN for b in best]
-                scores += np.clip(top, 0, 1).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(preds, pa.string()), pa.array(scores, pa.float64())], [*carried, "lang_pred", "score"])
+                yield labelled(network, names, batch.slice(at, TEXTS))
 
     kinds = dict(docs.select(*carried).dtypes)
-    readable = F.when(F.col(text).rlike(r"\p{L}"), F.col(text).cast("binary"))
+    readable = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in carried) + ", lang_pred string, score double"
-    return map_arrow(docs.select(*carried, readable.alias("_bytes")), run, schema)
+    return map_arrow(docs.select(*shown, readable.alias("_readable")), run, schema)
 
 
 def identified(docs: DataFrame, modulus: int = 3, remainder: int = 1, carried: list[str] | None = None) -> DataFrame:

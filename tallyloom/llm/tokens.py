@@ -12,12 +12,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm.arrow import map_arrow
+from tallyloom.llm.arrow import held, map_arrow
 from tallyloom.llm.transducer import PIECE, Tokenizer, pieces
 
 #: Rows and characters of the texts on which the driver compiles the first states; they change no count.
 COMPILE_ROWS, COMPILE_CHARS = 2000, 20_000
-_LOADED: dict[str, Tokenizer] = {}
 
 
 class Compiled:
@@ -32,10 +31,7 @@ class Compiled:
         self.sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(tokenizer, 5))
 
     def get(self) -> Tokenizer:
-        if self.name not in _LOADED:
-            _LOADED.clear()
-            _LOADED[self.name] = pickle.loads(self.sent.value)
-        return _LOADED[self.name]
+        return held(self.name, lambda: pickle.loads(self.sent.value))
 
 
 def _parts(tokenizer: Tokenizer, texts: list[str]):
