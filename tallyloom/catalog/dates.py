@@ -92,3 +92,36 @@ def collect_pages_without_last(spark, folder):
 def page_fields(spark, folder):
     ids = lookup.field_of("data", "id").cast("array<string>")
     return landed_pages(spark, folder).select("page_no", F.array_join(ids, ",").alias("ids"))
+
+
+# -- pages whose order is in their tokens only ------------------------------------------------
+
+def chained_pages(spark, folder):
+    """The landed pages with tokens that lead through them in another order than that of their numbers."""
+    pages = landed_pages(spark, folder).drop("next_token")
+    count = pages.agg(F.max("page_no") + 1).scalar()
+    token = lambda n: F.when(n > 0, F.md5(F.concat(F.lit("page"), n.cast("string"))))
+    after = (F.col("page_no") * 7 + 3) % F.lit(count)
+    return pages.withColumns({"page_token": token(F.col("page_no")), "next_token": token(after)})
+
+
+_CHAIN_SQL = """WITH RECURSIVE p AS (SELECT event_id // 100 AS page_no, event_id, event_type || ' ' || props AS text FROM events),
+ n AS (SELECT page_no, count(*) AS size, (page_no * 7 + 3) % (SELECT max(page_no) + 1 FROM p) AS after FROM p GROUP BY page_no),
+ c AS (SELECT page_no, size, after, 0 AS place, [page_no] AS met FROM n WHERE page_no = 0
+  UNION ALL SELECT n.page_no, n.size, n.after, place + 1, list_append(met, n.page_no) FROM c JOIN n ON n.page_no = c.after
+  WHERE c.after > 0 AND NOT list_contains(met, n.page_no)),
+ r AS (SELECT *, sum(size) OVER (ORDER BY place) - size AS before FROM c)"""
+
+
+@query(_CHAIN_SQL + " SELECT r.page_no, place, event_id AS id, text FROM r JOIN p USING (page_no) WHERE before < 3050")
+def collect_pages_by_token(spark, folder):
+    kept = pg.collect_pages_by_token(chained_pages(spark, folder), cap=3050)
+    return pg.records(kept, "page_no", "place").select("page_no", "place", "id", "text")
+
+
+@query(_CHAIN_SQL + " SELECT page_no, place, size FROM r")
+def page_places(spark, folder):
+    pages = chained_pages(spark, folder)
+    placed = pg.page_places(pages)
+    match = placed["page_token"].eqNullSafe(pages["page_token"])
+    return placed.join(pages, match).select("page_no", "place", F.size("data").cast("bigint").alias("size"))

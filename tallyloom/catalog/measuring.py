@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.catalog.registry import query, table
 from tallyloom.catalog.words import labelled_documents
-from tallyloom.operators import measures
+from tallyloom.operators import measures, ordered
 
 
 def _scored(spark, folder):
@@ -98,3 +98,14 @@ def mse(spark, folder):
     out = measures.mean_squared_error(_linear(spark, folder))
     return out.select(
         F.round("sum_y", 1).alias("sum_y"), F.round("sum_pred", 1).alias("sum_pred"), "n", F.round("mse", 2).alias("mse"))
+
+
+@query("""WITH a AS (SELECT doc_id, n_chars > 1000 AS pred, row_number() OVER (ORDER BY doc_id) AS i FROM documents JOIN labels USING (doc_id)),
+ b AS (SELECT quality = 1 AS target, row_number() OVER (ORDER BY doc_id) AS i FROM labels)
+ SELECT doc_id, pred, target FROM a JOIN b USING (i)""")
+def zip_predictions(spark, folder):
+    """Predictions and targets that share nothing but the order of their rows."""
+    labels = table(spark, folder, "labels")
+    predicted = table(spark, folder, "documents").join(labels, "doc_id", "left_semi").select("doc_id", (F.col("n_chars") > 1000).alias("pred"))
+    targets = labels.select(F.col("doc_id").alias("of"), (F.col("quality") == 1).alias("target"))
+    return ordered.zip_rows(predicted, targets, ["doc_id"], ["of"]).drop("of")

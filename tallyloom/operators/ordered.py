@@ -108,6 +108,20 @@ def forward_fill(df: DataFrame, order: Sequence[str], columns: Sequence[str]) ->
     )
 
 
+def zip_rows(left: DataFrame, right: DataFrame, left_order: Sequence[str | Column], right_order: Sequence[str | Column],
+             pad: bool = False) -> DataFrame:
+    """The n-th row of one table beside the n-th row of the other, each in its own total order.
+
+    Tables of different length are cut at the shorter one's end; ``pad`` keeps the longer one's rows, with
+    nulls beside them.  Column names must differ.
+    """
+    clash = sorted({c.lower() for c in left.columns} & {c.lower() for c in right.columns})
+    if clash:
+        raise ValueError(f"columns of both tables: {', '.join(clash)}")
+    one, two = row_index(left, left_order, "_place"), row_index(right, right_order, "_place")
+    return one.join(two, "_place", "full" if pad else "inner").select(*left.columns, *right.columns)
+
+
 def batches(df: DataFrame, order: Sequence[str], size: int, out: str = "batch_id") -> DataFrame:
     """Consecutive batches of ``size`` rows, numbered from 0."""
     return row_index(df, order, "_i").withColumn(out, F.floor((F.col("_i") - 1) / size).cast("long")).drop("_i")

@@ -373,3 +373,15 @@ def test_ids_of_copies_do_not_depend_on_layout(spark):
     ids = [sorted(r["doc_id"] for r in documents_from_lines(tagged, lines.repartition(n)).collect()) for n in (2, 7)]
     assert ids[0] == ids[1] and len(set(ids[0])) == 100
     assert numbered_copies(lines.limit(0)).count() == 0
+
+
+def test_rows_beside_rows(spark):
+    left = spark.range(0, 100).select(F.col("id").alias("a")).repartition(7)
+    right = spark.range(0, 130).select(F.col("id").alias("b"), (-F.col("id")).alias("o")).repartition(3)
+    cut = ordered.zip_rows(left, right, ["a"], ["o"]).collect()
+    assert sorted((r["a"], r["b"]) for r in cut) == [(i, 129 - i) for i in range(100)]
+    padded = ordered.zip_rows(left, right, ["a"], ["o"], pad=True).collect()
+    assert sorted((r["b"], r["a"]) for r in padded) == [(129 - i, i if i < 100 else None) for i in reversed(range(130))]
+    assert ordered.zip_rows(left, right.where("false"), ["a"], ["o"]).count() == 0
+    with pytest.raises(ValueError, match="columns of both"):
+        ordered.zip_rows(left, right.withColumnRenamed("b", "A"), ["a"], ["o"])

@@ -102,6 +102,51 @@ def test_pages_per_query(spark, tmp_path):
     assert {r["q"]: r["count"] for r in kept.groupBy("q").count().collect()} == {"a": 2, "b": 2}
 
 
+def chain(spark, pairs):
+    rows = [(a, b, [("1", f"text {i}", "9", "")]) for i, (a, b) in enumerate(pairs)]
+    return spark.createDataFrame(rows, "page_token string, next_token string, data array<struct<id:string,text:string,author_id:string,created_at:string>>")
+
+
+@pytest.mark.parametrize("pairs,want", [
+    ([], []),
+    ([("a", "b"), ("b", None)], []),  # no first page
+    ([(None, None)], [None]),
+    ([(None, "a"), ("b", None), ("a", "b"), ("z", "a")], [None, "a", "b"]),  # z is never asked for
+    ([(None, "a"), ("a", "gone")], [None, "a"]),
+    ([(None, "a"), ("a", "b"), ("b", "a")], [None, "a", "b"]),  # a loop
+    ([(None, "a"), ("a", "a")], [None, "a"]),
+    ([(None, "a"), ("a", "c"), ("a", "b"), ("a", None), ("b", None), ("c", None)], [None, "a", "b"]),  # a fork
+    ([(None, "a"), (None, "a"), ("a", ""), ("", None)], [None, "a", ""]),
+    ([(None, "n0"), *[(f"n{i}", f"n{i + 1}") for i in range(69)]], [None, *[f"n{i}" for i in range(69)]]),
+])
+def test_places_by_token(spark, pairs, want):
+    df = chain(spark, pairs)
+    got = sorted((r["place"], r["page_token"]) for r in pages.page_places(df).collect())
+    assert [t for _, t in got] == want and [p for p, _ in got] == list(range(len(want)))
+    kept = pages.collect_pages_by_token(df)
+    assert kept.count() == len(want)
+    assert pages.collect_pages_by_token(df, cap=2).count() == min(2, len(want))
+
+
+def test_places_per_query(spark):
+    one = chain(spark, [(None, "a"), ("a", None)]).withColumn("q", F.lit("one"))
+    two = chain(spark, [(None, "b"), ("a", "c"), ("b", "a")]).withColumn("q", F.lit(None).cast("string"))
+    two = two.withColumn("q", F.lit("two"))
+    got = {(r["q"], r["place"]): r["page_token"] for r in pages.page_places(one.unionByName(two), group=["q"]).collect()}
+    assert got == {("one", 0): None, ("one", 1): "a", ("two", 0): None, ("two", 1): "b", ("two", 2): "a"}
+
+
+def test_page_files_by_token(spark, tmp_path):
+    """The file numbers run against the tokens."""
+    for number, asked, following in ((3, "", "x"), (1, "-x", "y"), (2, "-y", None)):
+        meta = {"next_token": following} if following else {}
+        data = [{"id": str(number), "text": f"t{number}", "author_id": "1", "created_at": "2024-01-01T00:00:00Z"}]
+        (tmp_path / f"page-{number:04}{asked}.json").write_text(json.dumps({"data": data, "meta": meta}))
+    df = pages.read_pages(spark, str(tmp_path)).withColumn("next_token", F.col("meta.next_token"))
+    kept = pages.collect_pages_by_token(df, keep_last=False)
+    assert [r["page_no"] for r in kept.orderBy("place").collect()] == [3, 1]
+
+
 def test_stream_of_pages(spark, tmp_path):
     (tmp_path / "in").mkdir()
     path = landed_pages(tmp_path / "in")
