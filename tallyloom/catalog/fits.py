@@ -11,7 +11,7 @@ from tallyloom.functions.losses import hinge, logistic, weighted_hinge
 from tallyloom.functions.text import letter_words
 from tallyloom.operators import features as ft, measures
 from tallyloom.operators.sampling import weighted_split
-from tallyloom.plans import descent, documents, mlfit, trips
+from tallyloom.plans import descent, documents, mlfit, softmax, trips
 from tallyloom.session import settled
 from tallyloom.sources.lines import spread
 from tallyloom.sources.sinks import reused
@@ -410,18 +410,52 @@ def score_documents(spark, folder):
     return scored.withColumn("margin", F.round("margin", 9))
 
 
-# -- library models: checked by rows, their optimisers are not expressible in SQL ----------------
+# -- regression of several classes; the library's forest is checked by rows -----------------------
 
 def _vectors(spark, folder):
     return mlfit.dense_vectors(
         table(spark, folder, "embeddings").withColumn("label", F.col("label").cast("double")), "embedding")
 
 
-@query()
+# The optimum of a strictly convex loss does not depend on the way there: SQL takes accelerated steps of fixed size.
+_SOFTMAX_SQL = """WITH RECURSIVE e AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings),
+ long AS (SELECT unnest(range(len(x))) AS pos, unnest(x) AS v FROM e),
+ sd AS MATERIALIZED (SELECT list(CASE WHEN s > 1e-12 THEN 1 / s ELSE 0 END ORDER BY pos) AS inv FROM (SELECT pos, stddev_samp(v) AS s FROM long GROUP BY pos)),
+ z AS MATERIALIZED (SELECT vec_id, label::DOUBLE AS label, list_transform(list_zip(x, inv), lambda p: p[1] * p[2]) AS z FROM e, sd),
+ k AS MATERIALIZED (SELECT DISTINCT label FROM z),
+ c AS MATERIALIZED (SELECT count(*)::DOUBLE AS n, 0.5 * avg(list_inner_product(z, z)) + 1 AS big, any_value(len(z)) AS d FROM z),
+ it AS (SELECT 0 AS i, label, list_transform(range(d), lambda q: 0.0::DOUBLE) AS w, list_transform(range(d), lambda q: 0.0::DOUBLE) AS y FROM k, c
+  UNION ALL
+  SELECT i + 1, label, w2, list_transform(list_zip(w2, w), lambda p: p[1] + (sqrt(big) - 1) / (sqrt(big) + 1) * (p[1] - p[2]))
+  FROM (SELECT it.i, it.label, it.w, c.big, list_transform(list_zip(it.y, g.g), lambda p: p[1] - (p[2] / n + p[1]) / big) AS w2
+   FROM it, c, (
+    SELECT label, list(s ORDER BY pos) AS g FROM (
+     SELECT label, pos, sum(r * v) AS s FROM (
+      SELECT label, r, unnest(range(len(z))) AS pos, unnest(z) AS v FROM (
+       SELECT k.label, m.z, exp(m.m - m.top) / sum(exp(m.m - m.top)) OVER (PARTITION BY m.vec_id) - (m.label = k.label)::INT AS r
+       FROM (SELECT z.vec_id, z.label, z.z, it.label AS cls, list_inner_product(z.z, it.y) AS m,
+         max(list_inner_product(z.z, it.y)) OVER (PARTITION BY z.vec_id) AS top FROM z, it WHERE it.i < {steps}) m JOIN k ON k.label = m.cls)) GROUP BY label, pos) GROUP BY label) g
+   WHERE g.label = it.label AND it.i < {steps})),
+ w AS MATERIALIZED (SELECT label, list_transform(list_zip(w, inv), lambda p: p[1] * p[2]) AS w FROM it, sd WHERE i = {steps})"""
+
+
+def _softmax(spark, folder):
+    features = settled(softmax.exploded(table(spark, folder, "embeddings"), "embedding", ["vec_id", "label"]))
+    return features, softmax.fit_softmax(features, features.agg(F.max("pos") + 1).first()[0], key="vec_id")
+
+
+@query(_SOFTMAX_SQL.format(steps=120) + """ SELECT vec_id, label, cls AS pred FROM (
+ SELECT e.vec_id, e.label, w.label AS cls, row_number() OVER (PARTITION BY e.vec_id ORDER BY list_inner_product(x, w.w) DESC, w.label) AS i FROM e, w) WHERE i = 1""")
 def multinomial_lr(spark, folder):
-    with reused(_vectors(spark, folder)) as (rows,):
-        model = mlfit.fit_multinomial(rows)
-    return mlfit.predict(model, _vectors(spark, folder), ["vec_id", "label"])
+    features, fit = _softmax(spark, folder)
+    return softmax.predict_softmax(features, fit, ["vec_id", "label"])
+
+
+@query(_SOFTMAX_SQL.format(steps=120) + """ SELECT label AS cls, unnest(range(len(w)))::INT AS pos, round(unnest(w), 6) AS w, true AS optimal FROM w""")
+def multinomial_weights(spark, folder):
+    """The weights, and whether no component of the penalised gradient is left above a millionth."""
+    _, fit = _softmax(spark, folder)
+    return fit.weight_table(spark).withColumns({"w": F.round("w", 6), "optimal": F.lit(bool(fit.certificate < 1e-6))})
 
 
 @query()

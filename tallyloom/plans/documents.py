@@ -24,6 +24,7 @@ from tallyloom.plans.blocks import Side, packed
 from tallyloom.plans.descent import (
     Descent, Fit, batch_norm_penalty, fit_margin_batches, fit_margins, no_penalty, scalar_norm_penalty,
 )
+from tallyloom.plans.softmax import fit_softmax, predict_softmax
 from tallyloom.plans.timing import Phases
 from tallyloom.session import settled
 from tallyloom.sources.sinks import collect_small, reused
@@ -124,13 +125,15 @@ def run_documents(training: DataFrame, testing: DataFrame, preset: str | Preset,
     if preset.stem:
         training, testing = settled(stem_documents(training)), settled(stem_documents(testing))
     spark = training.sparkSession
-    if preset.model in ("multinomial", "forest"):
-        return _run_library(training, testing, preset, size, seed, phases)
+    if preset.model == "forest":
+        return _run_forest(training, testing, preset, size, seed, phases)
     terms = training_dictionary(training, size)
     rows = []
     with reused(training, terms) as (docs, words):
         width = words.count()
         features = settled(training_weights(docs, words, carry=["label"], use_idf=preset.use_idf))
+        if preset.model == "multinomial":
+            return _run_multinomial(features, testing, words, width, preset, phases)
         with phases("train"):
             found = fit_tasks(preset, docs, features, width, seed, fast)
         fits = [(name, target, fit) for (name, target, _), fit in zip(preset.tasks, found)]
@@ -147,8 +150,21 @@ def run_documents(training: DataFrame, testing: DataFrame, preset: str | Preset,
     return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], schema)
 
 
-def _run_library(training, testing, preset, size, seed, phases) -> DataFrame:
-    """The library models take vectors: the dictionary (at most ``size`` rows) becomes their vocabulary."""
+def _run_multinomial(features, testing, words, width, preset, phases) -> DataFrame:
+    """F measure of every class, overall accuracy, and how far from its optimum the fit stopped."""
+    with phases("train"):
+        fit = fit_softmax(features, width, penalty=1.0, passes=preset.passes)
+    held = scoring_features(testing, words, carry=["label"], idf_from="test")
+    with phases("test"):
+        with reused(predict_softmax(held, fit)) as (scored,):
+            typed = scored.select(F.col("label").cast("double").alias("label"), "pred")
+            overall = typed.agg(F.avg((F.col("label") == F.col("pred")).cast("double"))).first()[0]
+            found = f_by_label(typed).withColumns({"accuracy": F.lit(overall).cast("double"), "certificate": F.lit(fit.certificate)})
+            return settled(found)
+
+
+def _run_forest(training, testing, preset, size, seed, phases) -> DataFrame:
+    """The library's forest takes vectors: the dictionary (at most ``size`` rows) becomes their vocabulary."""
     with reused(training_dictionary(training, size)) as (terms,):
         listed = collect_small(terms.withColumn("_idf", idf(F.col("df"), row_total(training))).orderBy("pos"), size)
         held = positions(testing, terms)
@@ -162,14 +178,9 @@ def _run_library(training, testing, preset, size, seed, phases) -> DataFrame:
     test = mlfit.sparse_vectors(typed[1], vocabulary, [seen.get(r["pos"], 0.0) for r in listed])
     with reused(train) as (kept,):
         with phases("train"):
-            if preset.model == "multinomial":
-                model = mlfit.fit_multinomial(kept, passes=preset.passes)
-            else:
-                model = mlfit.fit_forest(kept, seed=int(seed))
+            model = mlfit.fit_forest(kept, seed=int(seed))
     scored = mlfit.predict(model, test, ["doc_id", "label"])
     with phases("test"):
-        if preset.model == "multinomial":
-            return f_by_label(scored)
         parts = [
             rates(confusion(scored, target, preset.policy)).withColumn("task", F.lit(name))
             for name, target, without in preset.tasks if without is None
