@@ -12,6 +12,8 @@ from tallyloom.session import use_checkpoint_dir
 
 #: A document stays if its language is known and this sure.
 LEAST_SCORE = 0.5
+#: Rows handed to Python at once, and where Spark has that setting.
+BATCH, ROWS_SETTING = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -63,10 +65,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder and read again."""
+    """All stages over ``documents``; each result is written to the shared folder and read again.
+
+    Stages that are written exchange texts with Python in batches of ``BATCH`` rows, for the memory of one
+    executor holds what all of them use; the session's own setting is restored before the last stage.
+    """
     folder = f"{use_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+    own = spark.conf.get(ROWS_SETTING)
+    spark.conf.set(ROWS_SETTING, min(int(own), BATCH) if int(own) > 0 else BATCH)
+    try:
+        for name, stage in STAGES[:-1]:
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+            docs = spark.read.parquet(f"{folder}/{name}")
+    finally:
+        spark.conf.set(ROWS_SETTING, own)
     return STAGES[-1][1](spark, docs, sf_dir)

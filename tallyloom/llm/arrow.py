@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -25,7 +27,23 @@ def importable(df: DataFrame) -> None:
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     importable(df)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            handed_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def handed_back() -> None:
+    """Give freed memory back to the machine: a worker outlives its task, and so would what the task used."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def batch_of(**columns) -> pa.RecordBatch:
