@@ -49,21 +49,23 @@ def op2_preference_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(sql="""
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS own, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
-  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id AND len(a.q) = len(b.q)
-), r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM s)
-SELECT * FROM r WHERE rank <= 5""")
+  SELECT a.own, a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND b.own <> a.own AND len(a.q) = len(b.q)
+), r AS (SELECT query_id, (row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
 def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best other rows for every row whose id 50 divides; rows that repeat an id are rows of their own."""
     vectors = topk.quantised(table(spark, folder, "embeddings"))
     return topk.top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
 
 
 @query()
 def op9_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text; null texts are empty, rows that repeat an id go by their text."""
     docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     follow = winnow.with_next(docs, "doc_id", ["text"], winnow.with_fingerprint, ("prints",))
     both = winnow.with_fingerprint(

@@ -23,36 +23,35 @@ from tallyloom.session import settled
 
 QUERY_BLOCK, CHUNK = 512, 4096  # expected rows of a block of queries and of a chunk of candidates
 _NONE = -(1 << 62)  # cutoff while fewer than k rows are known
-_FOUND = "query_id bigint, vec_id bigint, score bigint"
+_FOUND = "query_row bigint, query_id bigint, vec_id bigint, score bigint"
 
 
 def quantised(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``vec_id, comps``: floor(256 x) of every component; one row per id.
+    """``row_id, vec_id, comps``: floor(256 x) of every component, with a number of its own for every row.
 
     Rows with a null id, a null vector or a null, infinite or NaN component are
-    left out.  Rows that repeat an id count once, with the smallest vector.
+    left out.  Rows that repeat an id, or repeat as a whole, all count.  Numbers
+    are written once, so every later job sees the same ones.
     """
     x = F.col(vector)
     sound = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     comps = F.transform(x, lambda v: F.floor(F.lit(256.0) * v.cast("double")).cast("bigint"))
-    return (
-        vectors.where(F.col(key).isNotNull() & x.isNotNull() & sound)
-        .select(F.col(key).cast("bigint").alias("vec_id"), comps.alias("comps"))
-        .groupBy("vec_id").agg(F.min("comps").alias("comps"))
-    )
+    kept = vectors.where(F.col(key).isNotNull() & x.isNotNull() & sound)
+    return settled(kept.select(
+        F.monotonically_increasing_id().alias("row_id"), F.col(key).cast("bigint").alias("vec_id"), comps.alias("comps")))
 
 
 def _packed(rows: DataFrame, blocks: int, seed: int, *extra: str) -> DataFrame:
     """Rows of equal dimension in ``blocks`` random blocks each: ``dim, block, rows``."""
-    block = F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64(F.lit(seed), "row_id"), F.lit(blocks)).cast("int")
     return rows.groupBy(F.size("comps").alias("dim"), block.alias("block")).agg(
-        F.collect_list(F.struct("vec_id", "comps", *extra)).alias("rows"))
+        F.collect_list(F.struct("row_id", "vec_id", "comps", *extra)).alias("rows"))
 
 
 def _unpacked(column: pa.Array, at: int, dim: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     rows = column[at].values
     flat = rows.field("comps").flatten().to_numpy(zero_copy_only=False)
-    return rows.field("vec_id").to_numpy(zero_copy_only=False), flat.reshape(len(rows), dim), rows
+    return rows.field("row_id").to_numpy(zero_copy_only=False), flat.reshape(len(rows), dim), rows
 
 
 def _block_scores(queries: np.ndarray, chunk: np.ndarray, parts: int) -> list[np.ndarray]:
@@ -79,25 +78,27 @@ def _each_pair(batches: Iterator[pa.RecordBatch], of_pair) -> Iterator[pa.Record
     for batch in batches:
         for at in range(batch.num_rows):
             dim = batch.column("dim")[at].as_py()
-            q_ids, q, q_rows = _unpacked(batch.column("queries"), at, dim)
-            v_ids, v, _ = _unpacked(batch.column("chunk"), at, dim)
-            found = list(of_pair(q_ids, q, q_rows, v_ids, v))
+            own, q, q_rows = _unpacked(batch.column("queries"), at, dim)
+            others, v, v_rows = _unpacked(batch.column("chunk"), at, dim)
+            q_ids, v_ids = (r.field("vec_id").to_numpy(zero_copy_only=False) for r in (q_rows, v_rows))
+            found = list(of_pair(own, q, q_rows, others, v, v_ids))
             if found:
-                sizes = [len(ids) for _, ids, _ in found]
+                sizes = [len(places) for _, places, _ in found]
+                which = np.repeat([i for i, _, _ in found], sizes)
                 yield batch_of(
-                    query_id=pa.array(np.repeat([x for x, _, _ in found], sizes).astype(np.int64)),
-                    vec_id=pa.array(np.concatenate([x for _, x, _ in found]).astype(np.int64)),
+                    query_row=pa.array(own[which]), query_id=pa.array(q_ids[which]),
+                    vec_id=pa.array(v_ids[np.concatenate([places for _, places, _ in found])]),
                     score=pa.array(np.concatenate([x for _, _, x in found]).astype(np.int64)))
 
 
 def _local_lists(k: int, parts: int):
-    def of_pair(q_ids, q, _, v_ids, v):
+    def of_pair(own, q, _, others, v, v_ids):
         scores = _block_scores(q, v, parts)
         whole = sum(scores)
-        for i, query in enumerate(q_ids):
+        for i, row in enumerate(own):
             top = np.unique(np.concatenate([_top_places(k + 1, s[i]) for s in scores]))
-            top = top[v_ids[top] != query]
-            yield query, v_ids[top], whole[i, top]
+            top = top[others[top] != row]
+            yield i, top, whole[i, top]
 
     return lambda batches: _each_pair(batches, of_pair)
 
@@ -107,38 +108,38 @@ def _top_places(k: int, score: np.ndarray) -> np.ndarray:
 
 
 def _sufficient(k: int, parts: int):
-    def of_pair(q_ids, q, q_rows, v_ids, v):
+    def of_pair(own, q, q_rows, others, v, v_ids):
         scores = _block_scores(q, v, parts)
         cutoffs = q_rows.field("cutoff").to_numpy(zero_copy_only=False)
-        for i, query in enumerate(q_ids):
+        for i, row in enumerate(own):
             cut = cutoffs[i]
-            own = v_ids != query
+            other = others != row
             if cut == _NONE:
-                left = np.flatnonzero(own)
+                left = np.flatnonzero(other)
             else:
                 sent = np.array([s[i] * parts >= cut for s in scores])  # blocks that reach cutoff / parts
                 known = sum(np.where(m, s[i], 0) for m, s in zip(sent, scores))
                 missing = parts - sent.sum(0)
                 # a block not sent is below cutoff / parts
-                left = np.flatnonzero(own & (missing < parts) & (known * parts + missing * float(cut) >= cut * float(parts) - 1))
+                left = np.flatnonzero(other & (missing < parts) & (known * parts + missing * float(cut) >= cut * float(parts) - 1))
             exact = sum(s[i, left] for s in scores)
             reach = exact >= cut
             left, exact = left[reach], exact[reach]
             top = _best(k, exact, v_ids[left])
             if len(top):
-                yield query, v_ids[left[top]], exact[top]
+                yield i, left[top], exact[top]
 
     return lambda batches: _each_pair(batches, of_pair)
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, parts: int = 4) -> DataFrame:
-    """``query_id, rank, vec_id, score``: each query's ``k`` best rows of ``vectors`` except its own id.
+    """``query_id, rank, vec_id, score``: each query's ``k`` best rows of ``vectors`` except the query's own row.
 
-    Both sides are ``vec_id, comps`` with unique ids, as ``quantised`` makes them.
-    Only vectors of the query's dimension are compared.  Ties go to the smaller
-    id; a query with fewer than ``k`` candidates gets them all.  Empty tables give no row.
+    Both sides are rows of one table ``row_id, vec_id, comps`` as ``quantised``
+    makes it; every query row has its own list, also where ids repeat.  Only
+    vectors of the query's dimension are compared.  Ties go to the smaller id; a
+    query with fewer than ``k`` candidates gets them all.  Empty tables give no row.
     """
-    vectors, queries = settled(vectors), settled(queries)
     chunks = max(1, -(-vectors.count() // CHUNK))
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     packed = _packed(vectors, chunks, 1).select("dim", F.col("block").alias("chunk_id"), F.col("rows").alias("chunk"))
@@ -149,10 +150,10 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, parts: int = 4) ->
         return sides.join(packed, ["dim", "chunk_id"]).select("dim", "queries", "chunk")
 
     local = map_arrow(paired(queries), _local_lists(k, parts), _FOUND)
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    cut = local.withColumn("_p", place).where(F.col("_p") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("cutoff"))
+    place = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
+    cut = local.withColumn("_p", place).where(F.col("_p") == k).select(F.col("query_row").alias("row_id"), F.col("score").alias("cutoff"))
     marked = settled(
-        queries.join(cut, "vec_id", "left").select("vec_id", "comps", F.coalesce("cutoff", F.lit(_NONE)).alias("cutoff")))
+        queries.join(cut, "row_id", "left").select("row_id", "vec_id", "comps", F.coalesce("cutoff", F.lit(_NONE)).alias("cutoff")))
     resolved = map_arrow(paired(marked, "cutoff"), _sufficient(k, parts), _FOUND)
     return (
         resolved.withColumn("rank", place.cast("int")).where(F.col("rank") <= k)

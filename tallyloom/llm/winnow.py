@@ -1,11 +1,14 @@
 """Winnowed document fingerprints in DataFrame functions only.
 
-Words are hashed once, ``k`` neighbouring hashes make a gram, and of every
-``w`` neighbouring grams the smallest is kept, the rightmost on ties.  So any
-``w + k - 1`` words that two texts share give both the same gram.  A gram is one
-long: 32 hash bits over 31 bits of the reversed place, which makes "smallest,
-then rightmost" a plain minimum, and the minimum over a window is built from
-windows of half its size.
+A text is cut into units: words in pieces of at most four characters, and single
+characters in scripts that are written without spaces.  Each unit is hashed
+once and makes a gram with the ``k - 1`` units before it (fewer at the start of
+the text).  Of every ``w`` neighbouring grams the smallest is kept, the rightmost
+on ties; windows at both ends hold what is there, so a text keeps its first and
+its last gram.  So any ``w + k - 1`` units that two texts share give both the
+same gram, and two texts that begin alike share one at any length.  A gram is one
+long: 32 hash bits over 31 bits of the reversed place, which makes "smallest, then
+rightmost" a plain minimum, and that over a window is built from windows of half its size.
 """
 
 from __future__ import annotations
@@ -13,21 +16,23 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-K, W = 5, 16
+K, W = 3, 8
+# Thai to Lao, Burmese, Khmer, kana, ideographs
+_UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF"
+UNITS = rf"[{_UNSPACED}]|[^\x20\x09-\x0D{_UNSPACED}]{{1,4}}"
 _PLACES = (1 << 31) - 1
 
 
 def grams(text: Column, k: int = K) -> Column:
-    """One long per k-gram of words; a text of 1 to k words is a single gram, no word no gram."""
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda x: x != "")
-    hashes = F.transform(words, lambda x: F.xxhash64(x))
+    """One long per unit of the text: it and up to ``k - 1`` units before it; no unit no gram."""
+    hashes = F.transform(F.regexp_extract_all(text, F.lit(UNITS), F.lit(0)), lambda x: F.xxhash64(x))
 
     def gram(h: Column) -> Column:
-        last = F.greatest(F.size(h) - k, F.lit(0))
-        at = lambda i, j: F.get(h, i + j)  # noqa: E731  null beyond the last word: not hashed
+        at = lambda i, j: F.get(h, i - (k - 1 - j))  # noqa: E731  null before the first unit: not hashed
         packed = lambda i: F.shiftleft(
             F.shiftrightunsigned(F.xxhash64(*(at(i, j) for j in range(k))), 32), 31).bitwiseOR(F.lit(_PLACES) - i)
-        return F.when(F.size(h) == 0, F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(0), last), packed))
+        return F.when(F.size(h) == 0, F.array().cast("array<bigint>")).otherwise(
+            F.transform(F.sequence(F.lit(0), F.size(h) - 1), packed))
 
     return _let(hashes, gram)
 
@@ -47,7 +52,7 @@ def _halves(size: int) -> list[int]:
 
 
 def winnowed(packed: Column, w: int = W) -> Column:
-    """The distinct window minima in order of place; a text of fewer than ``w`` grams is one window."""
+    """The distinct minima of all windows of ``w`` grams, cut off at both ends of the text, in order of place."""
 
     def widen(shifts: list[int]):
         if not shifts:
@@ -61,10 +66,8 @@ def winnowed(packed: Column, w: int = W) -> Column:
 
         return use
 
-    def choose(m: Column) -> Column:
-        return F.when(F.size(m) == 0, m).when(F.size(m) < w, F.array(F.array_min(m))).otherwise(widen(_halves(w))(m))
-
-    return _let(packed, choose)
+    beyond = F.array_repeat(F.lit((1 << 63) - 1), w - 1)  # at least as large as any gram: no window keeps it
+    return _let(packed, lambda m: F.when(F.size(m) == 0, m).otherwise(_let(F.concat(beyond, m, beyond), widen(_halves(w)))))
 
 
 def hashes_of(prints: Column) -> Column:
@@ -72,7 +75,7 @@ def hashes_of(prints: Column) -> Column:
 
 
 def places_of(prints: Column) -> Column:
-    """Word places (from 0) of the kept grams."""
+    """Places (from 0) of the last units of the kept grams."""
     return F.transform(prints, lambda x: F.lit(_PLACES) - x.bitwiseAND(F.lit(_PLACES)))
 
 

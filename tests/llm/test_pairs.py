@@ -13,11 +13,19 @@ from tallyloom.llm.queries_pairs import op9_document_fingerprints
 
 
 def plain_top(rows, queries, k):
-    out = set()
-    for q, qv in queries:
-        scored = sorted((-sum(a * b for a, b in zip(qv, v)), i) for i, v in rows if i != q and len(v) == len(qv))
-        out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])}
-    return out
+    """Lists of (row number, id, vector) against all other rows, repeats included."""
+    out = []
+    for row, q, qv in queries:
+        scored = sorted((-sum(a * b for a, b in zip(qv, v)), i) for r, i, v in rows if r != row and len(v) == len(qv))
+        out += [(q, place + 1, i, -s) for place, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+def numbered(rows):
+    return [(place + 7, i, v) for place, (i, v) in enumerate(rows)]
+
+
+VECTORS = "row_id bigint, vec_id bigint, comps array<bigint>"
 
 
 def test_top_k_with_ties_and_signs(spark, monkeypatch):
@@ -25,29 +33,56 @@ def test_top_k_with_ties_and_signs(spark, monkeypatch):
     monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
     draw = np.random.default_rng(5)
     rows = [(i, draw.integers(-3, 4, 6).tolist()) for i in range(300)] + [(1000 + i, [1, 2]) for i in range(3)] + [(2000, [5])]
-    table = spark.createDataFrame(rows, "vec_id bigint, comps array<bigint>")
-    queries = [r for r in rows if r[0] % 10 == 0]
+    rows += [rows[20], rows[20], (20, [3] * 6), (30, [-1] * 6), (31, rows[30][1])]  # ids and whole rows that repeat
+    rows = numbered(rows)
+    table = spark.createDataFrame(rows, VECTORS)
+    queries = [r for r in rows if r[1] % 10 == 0]
     for k, parts in ((1, 1), (5, 4), (7, 3)):
-        found = {tuple(r) for r in topk.top_k(table.where("vec_id % 10 = 0"), table, k, parts).collect()}
+        found = sorted(tuple(r) for r in topk.top_k(table.where("vec_id % 10 = 0"), table, k, parts).collect())
         assert found == plain_top(rows, queries, k)
 
 
+def test_top_k_of_one_id_that_holds_most_rows(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CHUNK", 16)
+    rows = numbered([(50, [i % 5, 1]) for i in range(120)] + [(51, [9, 9]), (51, [9, 9])])
+    table = spark.createDataFrame(rows, VECTORS)
+    found = sorted(tuple(r) for r in topk.top_k(table.where("vec_id % 50 = 0"), table, 3, 2).collect())
+    assert found == plain_top(rows, [r for r in rows if r[1] == 50], 3)
+
+
 def test_quantised_leaves_out_unsound_vectors(spark):
     rows = [(1, [0.5, -0.001]), (2, None), (3, [1.0, None]), (4, [float("nan"), 0.0]), (5, [float("inf"), 0.0]), (None, [1.0]),
-            (6, [0.25]), (6, [0.5]), (7, [])]
-    found = {r[0]: r[1] for r in topk.quantised(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")).collect()}
-    assert found == {1: [128, -1], 6: [64], 7: []}
+            (6, [0.25]), (6, [0.5]), (6, [0.5]), (7, [])]
+    made = topk.quantised(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))
+    found = made.collect()
+    assert sorted((r["vec_id"], r["comps"]) for r in found) == [(1, [128, -1]), (6, [64]), (6, [128]), (6, [128]), (7, [])]
+    assert len({r["row_id"] for r in found}) == 5
     none = topk.quantised(spark.createDataFrame([], "vec_id bigint, embedding array<float>"))
     assert topk.top_k(none, none).count() == 0
 
 
+def test_quantised_among_columns_of_the_same_names(spark):
+    rows = [(1, [0.5], 3, "x"), (50, [0.25], None, "y")]
+    table = topk.quantised(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, row_id bigint, comps string"))
+    found = topk.top_k(table.where("vec_id % 50 = 0"), table).collect()
+    assert [tuple(r) for r in found] == [(50, 1, 1, 128 * 64)]
+
+
 def test_large_scores_are_whole_numbers(spark):
-    rows = [(i, [2**40 + i, -(2**41)]) for i in range(4)]
-    table = spark.createDataFrame(rows, "vec_id bigint, comps array<bigint>")
-    small = spark.createDataFrame([(9, [1, 1])], "vec_id bigint, comps array<bigint>")
+    table = spark.createDataFrame(numbered([(i, [2**40 + i, -(2**41)]) for i in range(4)]), VECTORS)
+    small = spark.createDataFrame([(1, 9, [1, 1])], VECTORS)
     assert {tuple(r) for r in topk.top_k(small, table, 2, 2).collect()} == {(9, 1, 3, 2**40 + 3 - 2**41), (9, 2, 2, 2**40 + 2 - 2**41)}
 
 
+def test_fingerprints_of_odd_rows(spark, odd, empty):
+    follow = winnow.with_next(odd.select("doc_id", "text"), "doc_id", ["text"], winnow.with_fingerprint, ("prints",))
+    found = follow.select("doc_id", "text", winnow.hashes_of(F.col("prints")).alias("h")).collect()
+    assert len(found) == odd.count()
+    assert all(r["h"] == [h for h, _ in plain_prints(r["text"])] for r in found)
+    assert winnow.with_fingerprint(odd).columns == [*odd.columns, "prints"]
+    assert winnow.with_fingerprint(empty).count() == 0
+
+
 def test_preference_pairs(spark):
     rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "yes"), (0, 2, "user", "and?"), (0, 3, "assistant", "good"),
             (1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (1, 2, "user", "and?"), (1, 3, "assistant", None),
@@ -72,7 +107,7 @@ def test_preference_pairs(spark):
 
 
 def plain_prints(text, k=winnow.K, w=winnow.W):
-    hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in re.split(r"[\x20\x09-\x0d]+", text or "") if x]
+    hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in re.findall(winnow.UNITS, text or "")]
 
     def gram(part):
         h = 42
@@ -80,16 +115,39 @@ def plain_prints(text, k=winnow.K, w=winnow.W):
             h = xxhash.xxh64_intdigest(x.to_bytes(8, "little"), h)
         return h >> 32
 
-    grams = [gram(hashes[i : i + k]) for i in range(max(1, len(hashes) - k + 1))] if hashes else []
+    grams = [gram(hashes[max(0, i - k + 1) : i + 1]) for i in range(len(hashes))]
     out = []
-    for i in range(max(1, len(grams) - w + 1) if grams else 0):
-        window = grams[i : i + w]
-        at = max(j for j, g in enumerate(window) if g == min(window)) + i
+    for i in range(len(grams) + w - 1 if grams else 0):
+        first = max(0, i - w + 1)
+        window = grams[first : i + 1]
+        at = max(j for j, g in enumerate(window) if g == min(window)) + first
         if (grams[at], at) not in out:
             out.append((grams[at], at))
     return out
 
 
+def test_edits_of_short_and_unspaced_texts_stay_near(spark):
+    texts = ["abcdefgh", "ab cd ef", "a b c d e f g h", "国破山河在城春草木深", "สวัสดีชาวโลกทุกคน", "x" * 9, "one two three four five six seven",
+             "感时花溅泪恨别鸟惊心" * 160, "word " * 400, "\U00020000\U00020001" * 10]
+    pairs = [(i, t, t[: len(t) - len(t) // 4] + "#" * (len(t) // 4)) for i, t in enumerate(texts)]
+    table = winnow.with_fingerprint(spark.createDataFrame(pairs, "i int, text string, changed string"))
+    both = winnow.with_fingerprint(table, "changed", "other")
+    rows = both.select("i", winnow.likeness(winnow.hashes_of(F.col("prints")), winnow.hashes_of(F.col("other"))).alias("near"),
+                       F.size("prints").alias("n")).collect()
+    assert len(rows) == len(texts) and all(0 < r["near"] < 1 for r in rows)
+    assert {r["i"]: r["n"] for r in rows}[7] > 100
+
+
+def test_long_shared_part_is_found_anywhere(spark):
+    shared = "the quick brown fox jumps over the lazy dog and runs far away from home"
+    texts = [("a", f"something else first. {shared} and then more"), ("b", f"very different start, yes! {shared}")]
+    rows = winnow.with_fingerprint(spark.createDataFrame(texts, "i string, text string")).select(
+        "i", winnow.hashes_of(F.col("prints")).alias("h")).collect()
+    # each of the windows that lie side by side inside the shared part keeps a gram of its own
+    windows = (len(re.findall(winnow.UNITS, shared)) - winnow.K + 1) // winnow.W
+    assert windows == 2 and len(set(rows[0]["h"]) & set(rows[1]["h"])) >= windows
+
+
 def test_fingerprints_equal_brute_force(spark, folder, rows):
     got = {r["doc_id"]: r for r in op9_document_fingerprints(spark, folder).collect()}
     assert len(got) == len(rows)
