@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.catalog.registry import query, sql_uniform, sql_words, table
+from tallyloom.catalog.registry import query, sql_draw, sql_uniform, sql_words, table
 from tallyloom.catalog.tables import TRIPS_SQL, trip_lines
 from tallyloom.catalog.words import _CLASS_SQL, _STOP, IDF_SQL, SIZE, TERMS_SQL, labelled_documents, stem_sql
 from tallyloom.functions.losses import hinge, logistic, weighted_hinge
 from tallyloom.functions.text import letter_words
 from tallyloom.operators import features as ft, measures
 from tallyloom.operators.sampling import weighted_split
-from tallyloom.plans import descent, documents, mlfit, softmax, trips
+from tallyloom.plans import descent, documents, forest, mlfit, softmax, trips
 from tallyloom.session import settled
 from tallyloom.sources.lines import spread
 from tallyloom.sources.sinks import reused
@@ -410,7 +410,7 @@ def score_documents(spark, folder):
     return scored.withColumn("margin", F.round("margin", 9))
 
 
-# -- regression of several classes; the library's forest is checked by rows -----------------------
+# -- regression of several classes, forest -----------------------
 
 def _vectors(spark, folder):
     return mlfit.dense_vectors(
@@ -458,11 +458,42 @@ def multinomial_weights(spark, folder):
     return fit.weight_table(spark).withColumns({"w": F.round("w", 6), "optimal": F.lit(bool(fit.certificate < 1e-6))})
 
 
-@query()
+def _forest_sql(trees: int = 3, depth: int = 4, bins: int = 32, seed: int = 13) -> str:
+    """The same trees: one pair of tables per level, ends at the class with the largest sum of leaf shares."""
+    weight = " + ".join(f"({sql_uniform(chr(39).join(['vec_id || ', ':', ' || tree']), seed)} >= {c!r}::DOUBLE)::INT" for c in forest.POISSON)
+    parts = [f"""WITH e AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label::DOUBLE AS label, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings),
+ long AS MATERIALIZED (SELECT r, unnest(range(len(x)))::INT AS pos, unnest(x) AS v FROM e),
+ spans AS MATERIALIZED (SELECT pos, min(v) AS lo, max(v) - min(v) AS span FROM long GROUP BY pos),
+ cells AS MATERIALIZED (SELECT r, pos, CASE WHEN span > 0 THEN least({forest.CELLS - 1}, floor((v - lo) / span * {forest.CELLS}.0::DOUBLE)) ELSE 0 END::INT AS cell FROM long JOIN spans USING (pos)),
+ held AS (SELECT pos, cell, count(*) AS n FROM cells GROUP BY pos, cell),
+ cuts AS MATERIALIZED (SELECT pos, cell, ((sum(n) OVER (PARTITION BY pos ORDER BY cell) - n) * {bins} // sum(n) OVER (PARTITION BY pos))::INT AS bin FROM held),
+ b AS MATERIALIZED (SELECT r, pos, bin FROM cells JOIN cuts USING (pos, cell)),
+ s0 AS MATERIALIZED (SELECT r, vec_id, label, tree, 1 AS node, {weight} AS w FROM e, (SELECT unnest(range({trees}))::INT AS tree))"""]
+    for i in range(depth):
+        parts.append(f"""a{i} AS MATERIALIZED (SELECT tree, node, pos FROM (
+  SELECT tree, node, pos, row_number() OVER (PARTITION BY tree, node ORDER BY {sql_draw("tree || ':' || node || ':' || pos", f"{seed}f")}, pos) AS q
+  FROM (SELECT DISTINCT tree, node FROM s{i} WHERE w > 0 AND node >= {1 << i}), spans) WHERE q <= (SELECT ceil(sqrt(count(*))) FROM spans)),
+ h{i} AS MATERIALIZED (SELECT tree, node, pos, bin, label, sum(w) AS n FROM s{i} JOIN a{i} USING (tree, node) JOIN b USING (r, pos) WHERE w > 0 GROUP BY ALL),
+ g{i} AS (SELECT c.tree, c.node, c.pos, c.bin, h.label, coalesce(sum(n) FILTER (h.bin <= c.bin), 0) AS l, coalesce(sum(n) FILTER (h.bin > c.bin), 0) AS r
+  FROM (SELECT DISTINCT tree, node, pos, bin FROM h{i}) c JOIN h{i} h USING (tree, node, pos) GROUP BY ALL),
+ k{i} AS (SELECT tree, node, pos, bin, sum(l * l)::DOUBLE / sum(l)::DOUBLE + sum(r * r)::DOUBLE / nullif(sum(r), 0)::DOUBLE AS score,
+   sum((l + r) * (l + r))::DOUBLE / sum(l + r)::DOUBLE AS whole FROM g{i} GROUP BY ALL),
+ f{i} AS MATERIALIZED (SELECT tree, node, pos, bin AS cut FROM k{i} WHERE score > whole
+  QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY score DESC, pos, bin) = 1),
+ s{i + 1} AS MATERIALIZED (SELECT s.r, vec_id, label, s.tree, CASE WHEN f.pos IS NULL THEN s.node ELSE 2 * s.node + (b.bin > f.cut)::INT END AS node, w
+  FROM s{i} s LEFT JOIN f{i} f ON s.tree = f.tree AND s.node = f.node LEFT JOIN b ON b.r = s.r AND b.pos = f.pos)""")
+    parts.append(f"""leaf AS MATERIALIZED (SELECT tree, node, label AS cls, n * {forest.SHARE} // sum(n) OVER (PARTITION BY tree, node) AS share
+  FROM (SELECT tree, node, label, sum(w) AS n FROM s{depth} WHERE w > 0 GROUP BY ALL))
+SELECT vec_id, label, cls AS pred FROM (SELECT r, vec_id, label, cls, sum(share) AS votes FROM s{depth} JOIN leaf USING (tree, node) GROUP BY ALL)
+QUALIFY row_number() OVER (PARTITION BY r ORDER BY votes DESC, cls) = 1""")
+    return ",\n ".join(parts)
+
+
+@query(_forest_sql())
 def random_forest(spark, folder):
-    with reused(_vectors(spark, folder)) as (rows,):
-        model = mlfit.fit_forest(rows)
-    return mlfit.predict(model, _vectors(spark, folder), ["vec_id", "label"])
+    rows = _vectors(spark, folder).select("vec_id", "label", "embedding")
+    fitted = forest.fit_forest(rows, "vec_id", vector="embedding")
+    return forest.predict_forest(rows, fitted, ["vec_id", "label"], vector="embedding")
 
 
 def _flow_sql(name: str, passes: int, penalty: str) -> str:
