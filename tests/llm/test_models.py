@@ -108,6 +108,34 @@ def test_shares_of_words_add_up():
     assert 0 < first < 1
 
 
+def test_kinds_count_every_training_row(spark):
+    """All 3,000 rows of a language count, not some of them."""
+    rows = [(i, "en", "common " + ("rare" if i % 100 == 0 else "often often")) for i in range(3000)]
+    kinds = mixing_lm.learned_kinds(spark.createDataFrame(rows, "doc_id bigint, lang string, text string").repartition(5))
+    log = {w: kinds.logs[kinds.place[w.encode()], 0] for w in ("common", "rare", "often")}
+    assert log["common"] - log["rare"] == pytest.approx(math.log(3000.1 / 30.1))
+    assert log["often"] - log["rare"] == pytest.approx(math.log(5940.1 / 30.1))
+
+
+def test_mixer_learns_from_every_word(spark, monkeypatch):
+    """The mean of the lots' learners by what they saw, over all words and on any layout."""
+    words = [(b"w%d" % (i * i), i % 2) for i in range(700)] + [(b"long" * 40, 0)]
+    table = spark.createDataFrame(words, "word binary, kind int")
+    monkeypatch.setattr(mixing_lm, "LOT_WORDS", 200)
+    one, many = (mixing_lm.learned_mixer(t) for t in (table.repartition(1), table.repartition(6)))
+    assert (one.weights == many.weights).all() and (one.refined == many.refined).all()
+    lots = [r[0] for r in table.select(F.collect_list(F.struct("word", "kind", F.xxhash64("word", "kind").alias("h"))).alias("r")).collect()][0]
+    weights, refined, uses, seen = 0, 0, 0, 0
+    for lot in range(4):
+        mine = sorted((r["h"], r["word"], r["kind"]) for r in lots if r["h"] % 4 == lot)
+        alone = mixing_lm.Mixer(one.counts)
+        used, met = alone.learn([w for _, w, _ in mine], np.array([k for _, _, k in mine]))
+        weights, refined = weights + alone.weights * used[:, None], refined + alone.refined * met
+        uses, seen = uses + used, seen + met
+    assert uses.sum() == seen.sum() == 8 * sum(len(w) + 1 for w, _ in words)
+    assert np.allclose((one.weights * uses[:, None]), weights, atol=1e-3) and np.allclose(one.refined * seen, refined, atol=1e-3)
+
+
 def test_context_counts_are_sums_over_tasks(spark):
     words = [(bytearray(w), k) for k in (0, 3) for w in (b"a", b"ab", b"abc", b"zebra", b"x" * 90)]
     table = spark.createDataFrame(words, "word binary, kind int")
