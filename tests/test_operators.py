@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from tallyloom.functions import hashing
 from tallyloom.operators import (
     features as ft, lookup, measures, ordered, recode, sampling, sequences as sq, stats, validity, vocabulary as vc,
 )
@@ -341,6 +342,23 @@ def test_upsample_of_one_row(spark):
     assert {r["y"]: (r["n"], r["d"]) for r in out.collect()} == {0: (30_000, 30_000), 1: (30_000, 1)}
 
 
+def test_repeated_samples_deal_draws_to_tasks(spark, monkeypatch):
+    """One partition that holds all rows is not one task that makes all draws."""
+    seen = []
+    settle = sampling.settled
+    monkeypatch.setattr(sampling, "settled", lambda d: seen.append(d.rdd.getNumPartitions()) or settle(d))
+    monkeypatch.setattr(sampling, "DRAWS_AT_ONCE", 6000)
+    df = spark.range(10_000).select(F.col("id"), (F.col("id") % 7).alias("v")).coalesce(1)
+    got = sampling.repeated_samples(df, "id", 20, 6)
+    assert seen[0] == 10
+    drawn = df.select("id", F.explode(F.sequence(F.lit(1), F.lit(6))).alias("sample_id")).select(
+        "id", "sample_id", hashing.draw("sample_id", "id").alias("u"), hashing.drawn_below(1 << 45, "sample_id", "id").alias("low"))
+    rows = drawn.collect()
+    assert all(r["low"] == (r["u"] < 1 << 45) for r in rows) and any(r["low"] for r in rows)
+    want = {(s, i) for s in range(1, 7) for _, i in sorted((r["u"], r["id"]) for r in rows if r["sample_id"] == s)[:20]}
+    assert {(r["sample_id"], r["id"]) for r in got.collect()} == want
+
+
 def test_repeated_samples_are_exact(spark):
     df = spark.range(500)
     got = sampling.repeated_samples(df, "id", 20, 6).groupBy("sample_id").agg(F.collect_set("id").alias("ids")).collect()
