@@ -59,6 +59,26 @@ def test_sums_of_a_pass(spark, data):
         assert loss == pytest.approx(want[keep].sum()) and gradient == pytest.approx(x[keep].T @ slope[keep]) and docs == keep.sum()
 
 
+def test_shares_of_documents_and_factors_of_words(spark, data):
+    """One value a document is kept once, positions take two bytes, and factors give what multiplied features give."""
+    df, _, _ = data
+    flat = df.withColumn("value", 1.0 / (F.substring("doc_id", 2, 9).cast("int") + 2))
+    factors = RNG.normal(size=30)
+    table = spark.createDataFrame([(p, float(f)) for p, f in enumerate(factors)], "pos int, f double")
+    weighed = flat.join(table, "pos").withColumn("value", F.col("value") * F.col("f")).select(df.columns)
+    packed, plain = blocks.packed(flat).persist(), blocks.packed(weighed).persist()
+    words, bytes_of = df.count(), packed.agg(F.sum(F.octet_length("pos")), F.sum(F.octet_length("value"))).first()
+    assert tuple(bytes_of) == (2 * words, 8 * 60) and unpacked(packed) == unpacked(blocks.packed(flat.repartition(3)))
+    sides, rules = [Side(logistic(), 1), Side(hinge(), 2, without=1)], [descent.Descent(0.05, None, 6)] * 2
+    penalty = descent.scalar_norm_penalty(1e-2)
+    apart = descent.fit_margins(packed, 30, sides, rules, penalty, factors=factors)
+    for a, b in zip(apart, descent.fit_margins(plain, 30, sides, rules, penalty)):
+        assert np.allclose(a.weights, b.weights) and np.allclose(a.losses, b.losses)
+    far = blocks.packed(flat.withColumn("pos", F.col("pos") + 70_000))
+    assert unpacked(far) == [(p, y, tuple((i + 70_000, v) for i, v in w)) for p, y, w in unpacked(packed)]
+    packed.unpersist(), plain.unpersist()
+
+
 def test_array_losses_equal_columns(spark):
     y = np.array([0.0, 1.0, 1.0, 0.0, 1.0])
     m = np.array([-800.0, 800.0, 0.3, -0.2, 1.7])
