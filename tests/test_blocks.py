@@ -137,6 +137,26 @@ def test_gaps_draw_every_batch_evenly(spark, fast):
     assert again.select("k", "_pass").distinct().count() == again.count() == sum(counts)
 
 
+def test_a_batch_fit_reads_features_once(spark, data):
+    """Beside the list of documents: what is drawn is kept, not read again to be counted and packed."""
+    df, _, _ = data
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    features = df.withColumn("y", (F.col("label") == 1).cast("double")).mapInArrow(counted, "doc_id string, pos int, value double, label int, y double")
+    rule, n = descent.Descent(0.05, None, 4), df.count()
+    fits = []
+    for keys, times in ((df.select("doc_id").distinct(), 1), (None, 2)):
+        before = read.value
+        fits.append(descent.fit_margin_batches(features, 30, logistic(), rule, 20, 60, keys=keys))
+        assert read.value - before == times * n
+    assert np.allclose(fits[0].weights, fits[1].weights) and len(fits[0].losses) == 4
+
+
 def test_every_row_joins_if_the_batch_is_as_large(spark):
     rows = spark.range(5).select(F.col("id").alias("k"))
     assert descent.batch_members(rows, "k", 5, 5, 4).count() == 20
