@@ -5,6 +5,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,14 @@ def test_kinds_count_every_training_row(spark):
     assert log["often"] - log["rare"] == pytest.approx(math.log(5940.1 / 30.1))
 
 
+def test_kinds_shuffle_a_row_per_word_of_a_batch():
+    """Not a row per occurrence; letters A-Z and punctuation of ASCII alone are folded."""
+    texts = [("en", "Cat, cat\tCAT! \x1c ñÑ"), ("de", "cat (Tür)"), ("en", "cat's " * 500), ("en", "")]
+    batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in texts]), pa.array([t.encode() for _, t in texts])], ["lang", "text"])
+    rows = [tuple(r.values()) for out in mixing_lm._language_batches(iter([batch])) for r in out.to_pylist()]
+    assert sorted(rows) == sorted([("en", b"cat", 503), ("en", b"s", 500), ("en", b"\x1c", 1), ("en", "ñÑ".encode(), 1), ("de", b"cat", 1), ("de", "tür".encode(), 1)])
+
+
 def test_mixer_learns_from_every_word(spark, monkeypatch):
     """The mean of the lots' learners by what they saw, over all words and on any layout."""
     words = [(b"w%d" % (i * i), i % 2) for i in range(700)] + [(b"long" * 40, 0)]
