@@ -7,7 +7,9 @@ A vector's score is the sum of its scores on ``parts`` blocks of dimensions.
    reaches cutoff / parts; rows that do are collected, unless even their known
    blocks plus that bound for every other block stay below the cutoff.
 3. What is left gets its missing blocks scored exactly, and the k best stay.
-Queries and candidates are packed into blocks of bounded size.
+Queries are packed into blocks of bounded size.  Every chunk meets a copy of every
+block; the copies are dealt with the chunks and pass by in sorted order, never
+joined, so that no plan takes them for small and sends them to the driver.
 """
 
 from __future__ import annotations
@@ -41,17 +43,27 @@ def quantised(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding"
         F.monotonically_increasing_id().alias("row_id"), F.col(key).cast("bigint").alias("vec_id"), comps.alias("comps")))
 
 
-def _packed(rows: DataFrame, blocks: int, seed: int, *extra: str) -> DataFrame:
-    """Rows of equal dimension in ``blocks`` random blocks each: ``dim, block, rows``."""
-    block = F.pmod(F.xxhash64(F.lit(seed), "row_id"), F.lit(blocks)).cast("int")
-    return rows.groupBy(F.size("comps").alias("dim"), block.alias("block")).agg(
-        F.collect_list(F.struct("row_id", "vec_id", "comps", *extra)).alias("rows"))
+def _block(blocks: int, seed: int):
+    return F.pmod(F.xxhash64(F.lit(seed), "row_id"), F.lit(blocks)).cast("int")
 
 
-def _unpacked(column: pa.Array, at: int, dim: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    rows = column[at].values
-    flat = rows.field("comps").flatten().to_numpy(zero_copy_only=False)
-    return rows.field("row_id").to_numpy(zero_copy_only=False), flat.reshape(len(rows), dim), rows
+def _meetings(queries: DataFrame, vectors: DataFrame, chunks: int, blocks: int, *extra: str) -> DataFrame:
+    """``dim, chunk_id, asks, rows``: of every chunk first its vectors, a row each, then all blocks of queries of their dimension."""
+    dim, row = F.size("comps").alias("dim"), ("row_id", "vec_id", "comps")
+    candidates = vectors.select(
+        dim, _block(chunks, 1).alias("chunk_id"), F.lit(False).alias("asks"),
+        F.array(F.struct(*row, *(F.lit(_NONE).alias(x) for x in extra))).alias("rows"))
+    # as many tasks as blocks: each block is copied once for every chunk
+    packed = queries.select(dim, _block(blocks, 2).alias("block"), F.struct(*row, *extra).alias("row")).repartition(
+        blocks, "dim", "block").groupBy("dim", "block").agg(F.collect_list("row").alias("rows"))
+    copies = packed.select("dim", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk_id"), F.lit(True).alias("asks"), "rows")
+    return candidates.union(copies).repartition(chunks, "dim", "chunk_id").sortWithinPartitions("dim", "chunk_id", "asks")
+
+
+def _unpacked(rows: pa.StructArray, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, ids and vectors."""
+    numbers, ids = (rows.field(x).to_numpy(zero_copy_only=False) for x in ("row_id", "vec_id"))
+    return numbers, ids, rows.field("comps").flatten().to_numpy(zero_copy_only=False).reshape(len(rows), dim)
 
 
 def _block_scores(queries: np.ndarray, chunk: np.ndarray, parts: int) -> list[np.ndarray]:
@@ -75,20 +87,34 @@ def _best(k: int, score: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def _each_pair(batches: Iterator[pa.RecordBatch], of_pair) -> Iterator[pa.RecordBatch]:
+    """Results of every block of queries with the chunk that came before it: a task holds one chunk at a time."""
+    key, parts = None, []
     for batch in batches:
-        for at in range(batch.num_rows):
-            dim = batch.column("dim")[at].as_py()
-            own, q, q_rows = _unpacked(batch.column("queries"), at, dim)
-            others, v, v_rows = _unpacked(batch.column("chunk"), at, dim)
-            q_ids, v_ids = (r.field("vec_id").to_numpy(zero_copy_only=False) for r in (q_rows, v_rows))
-            found = list(of_pair(own, q, q_rows, others, v, v_ids))
-            if found:
-                sizes = [len(places) for _, places, _ in found]
-                which = np.repeat([i for i, _, _ in found], sizes)
-                yield batch_of(
-                    query_row=pa.array(own[which]), query_id=pa.array(q_ids[which]),
-                    vec_id=pa.array(v_ids[np.concatenate([places for _, places, _ in found])]),
-                    score=pa.array(np.concatenate([x for _, _, x in found]).astype(np.int64)))
+        keys = np.stack([batch.column(x).to_numpy(zero_copy_only=False) for x in ("dim", "chunk_id", "asks")])
+        edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+        for start, stop in zip(edges, edges[1:]):
+            dim, chunk_id, asks = keys[:, start].tolist()
+            if key != (dim, chunk_id):
+                key, parts = (dim, chunk_id), []
+            if not asks:  # copied: else a part would keep its whole batch in memory
+                parts.append([x.copy() for x in _unpacked(batch.column("rows").slice(start, stop - start).flatten(), dim)])
+                continue
+            if not parts:
+                continue
+            if len(parts) > 1:
+                parts = [[np.concatenate(x) for x in zip(*parts)]]
+            others, v_ids, v = parts[0]
+            for at in range(start, stop):
+                rows = batch.column("rows")[at].values
+                own, q_ids, q = _unpacked(rows, dim)
+                found = list(of_pair(own, q, rows, others, v, v_ids))
+                if found:
+                    sizes = [len(places) for _, places, _ in found]
+                    which = np.repeat([i for i, _, _ in found], sizes)
+                    yield batch_of(
+                        query_row=pa.array(own[which]), query_id=pa.array(q_ids[which]),
+                        vec_id=pa.array(v_ids[np.concatenate([places for _, places, _ in found])]),
+                        score=pa.array(np.concatenate([x for _, _, x in found]).astype(np.int64)))
 
 
 def _local_lists(k: int, parts: int):
@@ -142,19 +168,12 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, parts: int = 4) ->
     """
     chunks = max(1, -(-vectors.count() // CHUNK))
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    packed = _packed(vectors, chunks, 1).select("dim", F.col("block").alias("chunk_id"), F.col("rows").alias("chunk"))
-
-    def paired(with_cutoff: DataFrame, *extra: str) -> DataFrame:
-        sides = _packed(with_cutoff, blocks, 2, *extra).select(
-            "dim", F.col("rows").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk_id"))
-        return sides.join(packed, ["dim", "chunk_id"]).select("dim", "queries", "chunk")
-
-    local = map_arrow(paired(queries), _local_lists(k, parts), _FOUND)
+    local = map_arrow(_meetings(queries, vectors, chunks, blocks), _local_lists(k, parts), _FOUND)
     place = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
     cut = local.withColumn("_p", place).where(F.col("_p") == k).select(F.col("query_row").alias("row_id"), F.col("score").alias("cutoff"))
     marked = settled(
         queries.join(cut, "row_id", "left").select("row_id", "vec_id", "comps", F.coalesce("cutoff", F.lit(_NONE)).alias("cutoff")))
-    resolved = map_arrow(paired(marked, "cutoff"), _sufficient(k, parts), _FOUND)
+    resolved = map_arrow(_meetings(marked, vectors, chunks, blocks, "cutoff"), _sufficient(k, parts), _FOUND)
     return (
         resolved.withColumn("rank", place.cast("int")).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")

@@ -50,6 +50,23 @@ def test_top_k_of_one_id_that_holds_most_rows(spark, monkeypatch):
     assert found == plain_top(rows, [r for r in rows if r[1] == 50], 3)
 
 
+def test_copies_of_the_queries_are_never_a_side_of_a_join(spark, monkeypatch):
+    """One copy for every chunk: joined, they look small before they are copied and are broadcast from the driver."""
+    monkeypatch.setattr(topk, "CHUNK", 8)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 5)
+    rows = numbered([(i, [i % 7, -i]) for i in range(200)])
+    table = spark.createDataFrame(rows, VECTORS)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # a chunk comes in several batches
+    try:
+        best = topk.top_k(table.where("vec_id % 10 = 0"), table, 3, 2)
+        assert sorted(tuple(r) for r in best.collect()) == plain_top(rows, [r for r in rows if r[1] % 10 == 0], 3)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch") if before is None else spark.conf.set(
+            "spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert "Join" not in best._jdf.queryExecution().executedPlan().toString()
+
+
 def test_quantised_leaves_out_unsound_vectors(spark):
     rows = [(1, [0.5, -0.001]), (2, None), (3, [1.0, None]), (4, [float("nan"), 0.0]), (5, [float("inf"), 0.0]), (None, [1.0]),
             (6, [0.25]), (6, [0.5]), (6, [0.5]), (7, [])]
