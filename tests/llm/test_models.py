@@ -101,6 +101,45 @@ def test_scores_of_odd_rows_and_small_head(odd, empty):
     assert mixing_lm.scored(empty).count() == 0
 
 
+def test_order_of_words_counts_across_their_edges(spark):
+    """A text and its words in another order are scored apart."""
+    draw = np.random.default_rng(3)
+    words = ["red", "stone", "under", "a", "quiet", "river", "bends", "slowly", "home"]
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2]
+    mixed = {i: draw.permutation(words).tolist() for i in range(400)}
+    rows = [(i, " ".join(words if i < 200 and i % 2 == 0 else mixed[i]), "en") for i in range(400) if i not in held[:2]]
+    rows += [(held[0], " ".join(words), "en"), (held[1], " ".join(reversed(words)), "en")]
+    found = {r["doc_id"]: r for r in mixing_lm.scored(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)).collect()}
+    one, other = found[held[0]], found[held[1]]
+    assert one["held_out"] and other["held_out"] and one["base_score"] == pytest.approx(other["base_score"])
+    assert one["score"] > other["score"] + 1
+    size = len(" ".join(words)) + 2
+    assert one["bits_per_byte"] == pytest.approx(-one["score"] * math.log2(10) / size)
+
+
+def test_contexts_run_over_the_whole_text():
+    """Two bits share a slot when what stands before them is the same, and else not."""
+    texts, kinds = [b"ab cab ab ca ", b"", b"ab ab ", b"ab cab ab ca ", b"\xc3\xb1" * 3 + b" x " + b"long" * 9 + b" "], [0, 1, 0, 2, 1]
+    pieces = list(mixing_lm._bits(texts, np.array(kinds), piece=7))
+    bits, slots = (np.concatenate([p[i] for p in pieces], axis=-1) for i in (1, 2))
+    owner = np.concatenate([p[0] for p in pieces])
+    data = [t + b" " for t in texts]
+    assert owner.tolist() == [i for i, t in enumerate(data) for _ in t]
+    assert np.packbits(bits.T.astype(np.uint8), axis=1).tobytes() == b"".join(data)
+    for i, (order, by_kind) in enumerate(mixing_lm.ORDERS):
+        named, at = {}, 0
+        for text, kind in zip(data, kinds):
+            for place, byte in enumerate(text):
+                word = text.rfind(b" ", 0, place) + 1
+                before = text.rfind(b" ", 0, max(0, word - 1)) + 1
+                start = {mixing_lm.WORD: word, mixing_lm.PAIR: before if word else 0}.get(order, max(0, place - order) if isinstance(order, int) else 0)
+                for j in range(8):
+                    known = f"{byte:08b}"[:j]
+                    named.setdefault((text[start:place], kind if by_kind else None, known), set()).add(int(slots[i, j, at]))
+                at += 1
+        assert all(len(x) == 1 for x in named.values()) and len(set.union(*named.values())) == len(named)
+
+
 def test_shares_of_words_add_up():
     """All spellings of one length class together stay below 1, and bits of a byte are a distribution."""
     mixer = mixing_lm.Mixer(np.random.default_rng(1).integers(0, 5, (2, mixing_lm.SLOTS)).astype(np.float32))
